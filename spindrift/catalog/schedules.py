@@ -119,7 +119,7 @@ def asof_forward(t: Tables) -> DataFrame:
 
 @query("asof_forward_sliced", _ASOF)
 def asof_forward_sliced(t: Tables) -> DataFrame:
-    return _asof(t, rows_per_slice=500)
+    return _asof(t, rows_per_slice=1000)
 
 
 @query(
@@ -196,7 +196,7 @@ def density_topk(t: Tables) -> DataFrame:
 
 _WALKS = """
     WITH rooms AS (
-      SELECT n_nationkey AS k, (n_nationkey // 5 + 1) * 100 + n_nationkey % 5 + 1 AS room FROM nation WHERE n_nationkey < 15),
+      SELECT n_nationkey AS k, CAST((n_nationkey // 5 + 1) * 100 + n_nationkey % 5 + 1 AS BIGINT) AS room FROM nation WHERE n_nationkey < 15),
     talks AS (
       SELECT room AS "room_B", CASE room % 5 WHEN 0 THEN 'AP' WHEN 1 THEN 'JM' ELSE 'TB' END AS speaker_initials,
         CASE room % 3 WHEN 0 THEN 'Prep' WHEN 1 THEN 'Server' ELSE 'Desktop' END AS subject FROM rooms

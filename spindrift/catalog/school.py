@@ -151,7 +151,7 @@ def low_quartile_students(t: Tables) -> DataFrame:
 
 @query("low_quartile_students_sliced", _TILES)
 def low_quartile_students_sliced(t: Tables) -> DataFrame:
-    return _low(t, rows_per_slice=300)
+    return _low(t, rows_per_slice=400)
 
 
 _QUARTILES = """
@@ -182,7 +182,7 @@ def quartile_tiles(t: Tables) -> DataFrame:
 
 @query("quartile_tiles_sliced", _QUARTILES)
 def quartile_tiles_sliced(t: Tables) -> DataFrame:
-    return _quartiles(t, rows_per_slice=500)
+    return _quartiles(t, rows_per_slice=2000)
 
 
 _SUBJECTS = ("English", "Maths", "Science")
@@ -339,4 +339,4 @@ def benchmark_filter(t: Tables) -> DataFrame:
 
 @query("benchmark_filter_sliced", _TRACK)
 def benchmark_filter_sliced(t: Tables) -> DataFrame:
-    return _track(t, rows_per_slice=100)
+    return _track(t, rows_per_slice=400)

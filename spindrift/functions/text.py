@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, functions as F
 
 
@@ -73,11 +71,10 @@ def initials(c: Column | str, words: int = 2) -> Column:
 def currency(c: Column | str, scales: dict[str, int], digits: int = 2) -> Column:
     """``$12.5M`` to 12500000 as a decimal; a text without a known suffix has scale 1.
 
-    The number is rounded to ``digits`` before it is scaled.
+    The number is rounded to ``digits`` before it is scaled. Suffixes are single letters.
     """
-    text = strip_ws(c)
-    suffixes = "".join(re.escape(s) for s in scales)
-    number = F.regexp_replace(text, rf"[$,{suffixes}]", "")
+    text = F.btrim(_col(c), F.lit(" \t\r\n"))
+    number = F.translate(text, "$," + "".join(scales), "")
     factor = F.lit(1).cast("bigint")
     for suffix, scale in scales.items():
         factor = F.when(text.endswith(suffix), F.lit(scale).cast("bigint")).otherwise(factor)

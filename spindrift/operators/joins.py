@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
+from math import pi, sqrt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spindrift.functions.numbers import great_circle_miles
+from spindrift.functions.numbers import EARTH_RADIUS_MILES, great_circle_miles
 from spindrift.operators import slices
 
+MILES_PER_DEGREE = EARTH_RADIUS_MILES * pi / 180
+
 
 def asof_forward(
     left: DataFrame,
@@ -121,93 +123,97 @@ def resolve_ids(df: DataFrame, pairs: DataFrame, first: str, second: str) -> Dat
 def nearest_sites(
     points: DataFrame,
     sites: DataFrame,
-    point_id: str,
     point_at: tuple[str, str],
     site_id: str,
     site_at: tuple[str, str],
     name: str,
     *,
     digits: int = 2,
-    cell_degrees: float = 4.0,
-    pack_rows: int | None = None,
 ) -> DataFrame:
     """Nearest site(s) of every point by great-circle miles rounded to ``digits``, ties kept.
 
-    ``*_at`` name (latitude, longitude) columns in radians. Sites are packed by area, about
-    ``pack_rows`` to a pack, each pack with one of its sites as centre and the distance to its
-    farthest site as radius. The pack list, which every task reads, has at most one entry per
-    area and 4,000 more: ``pack_rows`` grows with the counted sites. By the triangle inequality a point needs only the packs whose
-    centre distance minus radius is within the smallest centre distance plus radius, plus the
-    rounding step. Points join those packs by number, and each pack is searched inside the row:
-    no point-site pair that is not a best one becomes a row.
+    ``*_at`` name (latitude, longitude) columns in radians. The globe is cut into cells, sized so
+    that a cell holds about one site. For a cell with centre ``c`` and radius ``r`` only sites
+    within ``nearest(c) + 2r`` can be the nearest one of a point inside, by the triangle
+    inequality. These short lists are found from the occupied cells alone, through areas of
+    about 200 sites, and points then meet only the list of their own cell.
     """
-    if pack_rows is None:
-        pack_rows = max(500, ceil(sites.count() / 4000))
-    step = 10.0**-digits
+    measured = sites.agg(
+        F.count(F.lit(1)), *[f(F.degrees(c)) for c in site_at for f in (F.min, F.max)]
+    ).first()
+    degrees = _cell_degrees(*measured)
+    near = 2 * degrees / sqrt(2) * MILES_PER_DEGREE + 10.0**-digits + 1e-3
     lat, lon = (F.col(c) for c in site_at)
-    area = [F.floor(F.degrees(c) / cell_degrees) for c in (lat, lon)]
-    placed = sites.withColumns({"_a": area[0], "_b": area[1]})
-    crowd = placed.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_crowd"))
-    shares = F.ceil(F.col("_crowd") / F.lit(pack_rows))
-    site = F.struct(lat.alias("lat"), lon.alias("lon"), F.col(site_id).alias("id"))
-    packs = (
-        placed.join(crowd, ["_a", "_b"])
-        .groupBy("_a", "_b", F.pmod(F.xxhash64(site_id), shares).alias("_c"))
-        .agg(F.collect_list(site).alias("_sites"))
-        .withColumn("_pack", F.concat_ws(":", "_a", "_b", "_c"))
-        .withColumn("_mid", F.array_min("_sites"))
-    )
+    here = tuple(F.col(c) for c in point_at)
 
-    def miles(to: Column, at: tuple[Column, Column]) -> Column:
-        return great_circle_miles(at[0], at[1], to["lat"], to["lon"])
+    wide = degrees * sqrt(200)
+    placed = sites.select(
+        lat.alias("lat"), lon.alias("lon"), F.col(site_id).alias("id"),
+        _cell((lat, lon), wide).alias("_area"),
+    ).na.drop(subset=["lat", "lon"])
+    middle = _centre("_area", wide)
+    areas = placed.groupBy("_area").agg(
+        F.max(great_circle_miles(F.col("lat"), F.col("lon"), *middle)).alias("_reach")
+    )
+    index = areas.agg(F.collect_list(F.struct("_area", "_reach")))
 
-    centre = (F.col("_mid.lat"), F.col("_mid.lon"))
-    packs = packs.withColumn(
-        "_reach", F.array_max(F.transform("_sites", lambda s: miles(s, centre)))
+    cells = points.select(_cell(here, degrees).alias("_cell")).na.drop().distinct()
+    listed = cells.withColumn("_index", index.scalar()).select("_cell", F.explode("_index").alias("_i"))
+    listed = listed.select("_cell", "_i._area", "_i._reach").withColumn(
+        "_d", great_circle_miles(*_centre("_cell", degrees), *middle)
     )
-    index = packs.agg(
-        F.collect_list(
-            F.struct("_pack", F.col("_mid.lat").alias("lat"), F.col("_mid.lon").alias("lon"), "_reach")
-        )
+    bound = listed.groupBy("_cell").agg(F.min(F.col("_d") + F.col("_reach")).alias("_bound"))
+    asked = listed.join(bound, "_cell").where(
+        F.col("_d") - F.col("_reach") <= F.col("_bound") + near
     )
-    here = tuple(F.col(c) for c in point_at)
-    slack = step + 1e-3
-    probe = (
-        points.withColumn("_index", index.scalar())
-        .withColumn(
-            "_near",
-            F.transform(
-                "_index",
-                lambda p: F.struct(
-                    p["_pack"].alias("pack"),
-                    (miles(p, here) - p["_reach"]).alias("least"),
-                    (miles(p, here) + p["_reach"]).alias("most"),
-                ),
-            ),
-        )
-        .withColumn("_limit", F.array_min(F.transform("_near", lambda p: p["most"])) + slack)
-        .withColumn("_pack", F.explode(F.filter("_near", lambda p: p["least"] <= F.col("_limit"))["pack"]))
-        .drop("_index", "_near", "_limit")
+    met = asked.select("_cell", "_area").join(placed, "_area").withColumn(
+        "_d", great_circle_miles(*_centre("_cell", degrees), F.col("lat"), F.col("lon"))
+    )
+    least = met.groupBy("_cell").agg(F.min("_d").alias("_least"))
+    lists = (
+        met.join(least, "_cell")
+        .where(F.col("_d") <= F.col("_least") + near)
+        .groupBy("_cell")
+        .agg(F.collect_list(F.struct("lat", "lon", "id")).alias("_sites"))
     )
-    measured = probe.join(packs.select("_pack", "_sites"), "_pack").withColumn(
-        "_seen",
-        F.transform(
-            "_sites",
-            lambda s: F.struct(F.round(miles(s, here), digits).alias("miles"), s["id"].alias("id"),
-                               s["lat"].alias("lat"), s["lon"].alias("lon")),
+
+    seen = F.transform(
+        "_sites",
+        lambda s: F.struct(
+            F.round(great_circle_miles(s["lat"], s["lon"], *here), digits).alias("miles"), s.alias("site")
         ),
     )
-    measured = measured.withColumn("_least", F.array_min(F.transform("_seen", lambda s: s["miles"])))
-    measured = measured.withColumn(
-        "_best", F.filter("_seen", lambda s: s["miles"] == F.col("_least"))
-    ).drop("_sites", "_seen", "_pack")
-    best = measured.groupBy(point_id).agg(F.min("_least").alias("_nearest"))
+    nearest = F.array_min(F.transform("_seen", lambda s: s["miles"]))
     return (
-        measured.join(best, point_id)
-        .where(F.col("_least") == F.col("_nearest"))
-        .select(*points.columns, F.explode("_best").alias("_site"))
+        points.withColumn("_cell", _cell(here, degrees))
+        .join(lists, "_cell")
+        .withColumn("_seen", seen)
+        .withColumn("_nearest", nearest)
+        .select(*points.columns, "_nearest", F.explode("_seen").alias("_s"))
+        .where(F.col("_s.miles") == F.col("_nearest"))
         .select(
-            *points.columns, F.col("_site.id").alias(site_id), F.col("_site.lat").alias(site_at[0]),
-            F.col("_site.lon").alias(site_at[1]), F.col("_site.miles").alias(name),
+            *points.columns, F.col("_s.site.id").alias(site_id), F.col("_s.site.lat").alias(site_at[0]),
+            F.col("_s.site.lon").alias(site_at[1]), F.col("_s.miles").alias(name),
         )
     )
+
+
+def _cell_degrees(n: int, south: float, north: float, west: float, east: float) -> float:
+    """Side of a square that holds one of ``n`` sites on average, within 0.25 to 10 degrees."""
+    if not n:
+        return 10.0
+    area = max(north - south, 0.25) * max(east - west, 0.25)
+    return min(max(sqrt(area / n), 0.25), 10.0)
+
+
+def _cell(at: tuple[Column, Column], degrees: float) -> Column:
+    """Grid cell of a position as one number, NULL for a position that is not known."""
+    row, column = (F.floor(F.degrees(c) / F.lit(degrees)) for c in at)
+    return row * 10_000 + column
+
+
+def _centre(cell: str, degrees: float) -> tuple[Column, Column]:
+    """Centre of a grid cell in radians."""
+    row = F.floor((F.col(cell) + 5_000) / 10_000)
+    column = F.col(cell) - row * 10_000
+    return tuple(F.radians((c + 0.5) * F.lit(degrees)) for c in (row, column))

@@ -26,8 +26,15 @@ MAX_SLICES = 4096
 
 def measured_cuts(df: DataFrame, position: Column, rows_per_slice: int) -> list[float]:
     """Ascending cut points; empty when the table is small enough for one slice."""
-    counted = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    slices = min(ceil(counted / rows_per_slice), MAX_SLICES)
+    return cuts_for(df, position, df.count(), rows_per_slice)
+
+
+def cuts_for(df: DataFrame, position: Column, rows: int, rows_per_slice: int) -> list[float]:
+    """Cut points for about ``rows`` rows placed like those of ``df``.
+
+    Any cut points give right results, so ``df`` may be a cheaper table with a like spread.
+    """
+    slices = min(ceil(rows / rows_per_slice), MAX_SLICES)
     if slices <= 1:
         return []
     shares = [i / slices for i in range(1, slices)]
@@ -53,15 +60,15 @@ def slice_number(position: Column, cuts: Sequence[float]) -> Column:
     return skipped + F.size(F.filter(rest, lambda cut: cut <= at))
 
 
-def spread(df: DataFrame, lead: Column, tie: Column) -> Column:
+def spread(lead: Column, tie: Column, low: float, high: float) -> Column:
     """A position for integer-valued ``lead`` whose ties are spread by a numeric tie-break.
 
-    Without it all rows with one hot ``lead`` value would land in one slice.
+    Without it all rows with one hot ``lead`` value would land in one slice. Tie-breaks outside
+    ``low`` to ``high`` count as the nearer end, which keeps the order.
     """
-    low, high = df.agg(F.min(tie).cast("double"), F.max(tie).cast("double")).first()
-    if low is None:
-        return lead.cast("double")
-    return lead.cast("double") + (tie.cast("double") - low) / (high - low + 1.0)
+    span = float(high) - float(low) + 1.0
+    share = (tie.cast("double") - float(low)) / span
+    return lead.cast("double") + F.greatest(F.lit(0.0), F.least(share, F.lit(1.0 - 1e-6)))
 
 
 def running(
@@ -75,16 +82,19 @@ def running(
     lags: Mapping[str, str] | None = None,
     fills: Mapping[str, str] | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
+    cuts: Sequence[float] | None = None,
 ) -> DataFrame:
     """Running values per group in one pass.
 
     ``order`` holds ascending expressions that rank rows uniquely (negate a column to descend);
     ``position`` is numeric and never decreases along that order. ``row_number`` names a
     1-based rank; ``sums``, ``lags`` and ``fills`` map a new column to the column it runs over:
-    running sum, previous row's value, last value that is not NULL.
+    running sum, previous row's value, last value that is not NULL. ``cuts`` replaces the
+    measured cut points.
     """
     sums, lags, fills = dict(sums or {}), dict(lags or {}), dict(fills or {})
-    cuts = measured_cuts(df, position, rows_per_slice)
+    if cuts is None:
+        cuts = measured_cuts(df, position, rows_per_slice)
     if not cuts:
         return _within(df, list(keys), order, row_number, sums, lags, fills)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -120,18 +121,22 @@ def fan_label(difference: Column) -> Column:
     )
 
 
+def platform_mean(headers: Sequence[str]) -> Column:
+    """Mean of the known scores of one row."""
+    total = sum((F.coalesce(quoted(h), F.lit(0)) for h in headers), F.lit(0))
+    known = sum((quoted(h).isNotNull().cast("int") for h in headers), F.lit(0))
+    return F.try_divide(total, known)
+
+
 def fan_groups(survey: DataFrame, customer: str = "Customer ID") -> DataFrame:
-    """Share of customers per fan group; score columns are named ``<platform> - <question>``."""
-    scores = reshape.to_long(survey, [customer], name="header", value="score")
-    scores = scores.select(
-        quoted(customer).alias("customer"),
-        text.part("header", " - ", 1).alias("platform"),
-        text.part("header", " - ", -1).alias("question"),
-        "score",
-    ).where(F.col("question") != EXCLUDED_QUESTION)
-    means = reshape.to_wide(scores, ["customer"], "platform", PLATFORMS, F.avg("score"))
-    difference = quoted(PLATFORMS[0]) - quoted(PLATFORMS[1])
-    labelled = means.select(fan_label(difference).alias("group"))
+    """Share of customers per fan group; score columns are named ``<platform> - <question>``.
+
+    The headers are known when the plan is built, so a customer's scores stay in one row.
+    """
+    asked = [h for h in survey.columns if h != customer and h.split(" - ")[-1] != EXCLUDED_QUESTION]
+    scores = survey.groupBy(quoted(customer)).agg(*[F.min(quoted(h)).alias(h) for h in asked])
+    means = [platform_mean([h for h in asked if h.split(" - ")[0] == p]) for p in PLATFORMS]
+    labelled = scores.select(fan_label(means[0] - means[1]).alias("group"))
     return windows.counted_share(labelled, "group", "% total", 1)
 
 
@@ -178,15 +183,15 @@ def running_statement(
         "account_number", F.col("balance_date").alias("transaction_date"),
         F.col("balance").alias("value"), F.lit(None).cast("bigint").alias("transaction_id"),
     )
-    return statement_of(legs.unionByName(opening), rows_per_slice)
-
-
-def statement_of(entries: DataFrame, rows_per_slice: int = slices.ROWS_PER_SLICE) -> DataFrame:
+    entries = legs.unionByName(opening)
+    # highest value first within a day; cut points come from the details alone, before any join
     order = [F.col("transaction_date"), -F.col("value"), F.col("transaction_id")]
-    position = slices.spread(entries, dates.day_number(F.col("transaction_date")), -F.col("value"))
+    size, most = details.agg(F.count(F.lit(1)), F.max(F.abs("value"))).first()
+    position = slices.spread(dates.day_number(F.col("transaction_date")), -F.col("value"), -(most or 0), most or 0)
+    cuts = slices.cuts_for(details, position, 2 * size, rows_per_slice)
     run = slices.running(
         entries, ["account_number"], order, position,
-        sums={"balance": "value"}, lags={"transaction_value": "value"}, rows_per_slice=rows_per_slice,
+        sums={"balance": "value"}, lags={"transaction_value": "value"}, cuts=cuts,
     )
     return run.select("account_number", "transaction_date", "transaction_value", "balance")
 
@@ -245,7 +250,7 @@ def nearest_branch(
         F.radians("Address Long").alias("a_lon"),
     )
     near = joins.nearest_sites(
-        points, sites, "customer", ("a_lat", "a_lon"), "branch", ("b_lat", "b_lon"), "distance_in_miles"
+        points, sites, ("a_lat", "a_lon"), "branch", ("b_lat", "b_lon"), "distance_in_miles"
     )
     ranked = slices.dense_rank(
         near, ["branch"], "distance_in_miles", "customer priority", rows_per_slice=rows_per_slice
