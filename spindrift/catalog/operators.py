@@ -322,7 +322,7 @@ def running_values(t: Tables) -> DataFrame:
 
 @query("running_values_sliced", _RUNNING)
 def running_values_sliced(t: Tables) -> DataFrame:
-    return _running(t, rows_per_slice=2000)
+    return _running(t, rows_per_slice=1000)
 
 
 _ROLLING = f"""
@@ -347,4 +347,4 @@ def rolling_mean(t: Tables) -> DataFrame:
 
 @query("rolling_mean_sliced", _ROLLING)
 def rolling_mean_sliced(t: Tables) -> DataFrame:
-    return _rolling(t, rows_per_slice=2000)
+    return _rolling(t, rows_per_slice=1000)

@@ -151,7 +151,7 @@ def low_quartile_students(t: Tables) -> DataFrame:
 
 @query("low_quartile_students_sliced", _TILES)
 def low_quartile_students_sliced(t: Tables) -> DataFrame:
-    return _low(t, rows_per_slice=400)
+    return _low(t, rows_per_slice=60)
 
 
 _QUARTILES = """

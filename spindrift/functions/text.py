@@ -78,4 +78,5 @@ def currency(c: Column | str, scales: dict[str, int], digits: int = 2) -> Column
     factor = F.lit(1).cast("bigint")
     for suffix, scale in scales.items():
         factor = F.when(text.endswith(suffix), F.lit(scale).cast("bigint")).otherwise(factor)
-    return (F.round(number.cast("decimal(18,6)"), digits) * factor).cast("decimal(28,2)")
+    # at most 18 digits: Spark sorts and hashes longer decimals as objects
+    return (F.round(number.cast("decimal(18,6)"), digits) * factor).cast("decimal(18,2)")

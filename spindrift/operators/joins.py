@@ -184,13 +184,14 @@ def nearest_sites(
         ),
     )
     nearest = F.array_min(F.transform("_seen", lambda s: s["miles"]))
+    # outer explode and null-safe equality keep Spark from adding filters that measure again
     return (
         points.withColumn("_cell", _cell(here, degrees))
         .join(lists, "_cell")
         .withColumn("_seen", seen)
         .withColumn("_nearest", nearest)
-        .select(*points.columns, "_nearest", F.explode("_seen").alias("_s"))
-        .where(F.col("_s.miles") == F.col("_nearest"))
+        .select(*points.columns, "_nearest", F.explode_outer("_seen").alias("_s"))
+        .where(F.col("_s.miles").eqNullSafe(F.col("_nearest")))
         .select(
             *points.columns, F.col("_s.site.id").alias(site_id), F.col("_s.site.lat").alias(site_at[0]),
             F.col("_s.site.lon").alias(site_at[1]), F.col("_s.miles").alias(name),

@@ -1,47 +1,79 @@
 """Ordered calculations over groups of any size.
 
 A window function sorts a whole group in one task, which fails when one group holds a large
-share of a big table. The operators here cut the order axis into slices at quantiles of the
-whole table, so that one (group, slice) cell holds at most about ``rows / slices`` rows however
-skewed the groups are. Each cell is windowed on its own and the effect of the earlier slices
-arrives as one carried row per cell. The rows are shuffled once, by cell; the carry join reuses
-that partitioning and sort.
-
-The cut points are measured by one aggregate over the order column when the operator is called
-and then fixed as literals: both sides of the carry join must see identical cuts, also when a
-lost executor makes Spark recompute one of them. A table of at most ``rows_per_slice`` rows is
-not cut at all and takes a plain window.
+share of a big table. The operators here measure which groups are hot, that is larger than
+``rows_per_slice``, and cut the order axis of those into slices at quantiles of the hot rows, so
+that one (group, slice) cell holds about ``rows_per_slice`` rows. Each cell is windowed on its
+own and the effect of the earlier slices arrives as one carried row per hot cell. The rows are
+shuffled once, by cell; the carried rows are few, and their join reuses the window's
+partitioning and sort where they are too many to broadcast.
+
+Hot groups and cut points are measured by aggregates when the operator is called and then fixed
+as literals: both sides of the carry join must see identical cuts, also when a lost executor
+makes Spark recompute one of them. Without a hot group it is a plain window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from math import ceil, isqrt
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 ROWS_PER_SLICE = 1_000_000
 MAX_SLICES = 4096
+MAX_HOT_GROUPS = 1000
 
 
-def measured_cuts(df: DataFrame, position: Column, rows_per_slice: int) -> list[float]:
-    """Ascending cut points; empty when the table is small enough for one slice."""
-    return cuts_for(df, position, df.count(), rows_per_slice)
+@dataclass(frozen=True)
+class Cuts:
+    """Ascending cut points and the groups they apply to, every group when ``hot`` is None."""
 
+    points: Sequence[float] = ()
+    hot: Sequence[Row] | None = None
 
-def cuts_for(df: DataFrame, position: Column, rows: int, rows_per_slice: int) -> list[float]:
-    """Cut points for about ``rows`` rows placed like those of ``df``.
 
-    Any cut points give right results, so ``df`` may be a cheaper table with a like spread.
+NO_CUTS = Cuts()
+
+
+def measure(
+    df: DataFrame, keys: Sequence[str], position: Column, rows_per_slice: int,
+    positions: DataFrame | None = None,
+) -> Cuts:
+    """Find hot groups and cut points.
+
+    Any cut points give right results, so ``positions`` may be a cheaper table whose positions
+    are spread alike, and ``df`` a cheaper one with the same group sizes. At most
+    ``MAX_HOT_GROUPS`` + 1 group sizes come to the driver; when there are more hot groups, every
+    group is cut.
     """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    large = sizes.where(F.col("_size") > rows_per_slice).orderBy(F.col("_size").desc())
+    found = large.limit(MAX_HOT_GROUPS + 1).collect()
+    if not found:
+        return NO_CUTS
+    hot, rows = None, sum(r["_size"] for r in found)
+    if len(found) > MAX_HOT_GROUPS:
+        rows = df.count()
+    elif keys:
+        hot = tuple(r[:-1] for r in found)
     slices = min(ceil(rows / rows_per_slice), MAX_SLICES)
-    if slices <= 1:
-        return []
+    if positions is None:
+        positions = df if hot is None else df.where(is_hot(df, keys, hot))
     shares = [i / slices for i in range(1, slices)]
-    found = df.agg(
-        F.percentile_approx(position.cast("double"), shares, max(10_000, 10 * slices)).alias("cuts")
-    ).first()["cuts"]
-    return sorted(set(found or []))
+    points = positions.agg(
+        F.percentile_approx(position.cast("double"), shares, max(10_000, 10 * slices)).alias("p")
+    ).first()["p"]
+    return Cuts(sorted(set(points or [])), hot)
+
+
+def is_hot(df: DataFrame, keys: Sequence[str], hot: Sequence[Row] | None) -> Column:
+    if hot is None:
+        return F.lit(True)
+    types = [df.schema[k].dataType for k in keys]
+    groups = [F.struct(*[F.lit(v).cast(t) for v, t in zip(row, types)]) for row in hot]
+    return F.struct(*[F.col(k) for k in keys]).isin(*groups)
 
 
 def slice_number(position: Column, cuts: Sequence[float]) -> Column:
@@ -82,7 +114,7 @@ def running(
     lags: Mapping[str, str] | None = None,
     fills: Mapping[str, str] | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
-    cuts: Sequence[float] | None = None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Running values per group in one pass.
 
@@ -94,13 +126,14 @@ def running(
     """
     sums, lags, fills = dict(sums or {}), dict(lags or {}), dict(fills or {})
     if cuts is None:
-        cuts = measured_cuts(df, position, rows_per_slice)
-    if not cuts:
+        cuts = measure(df, keys, position, rows_per_slice)
+    if not cuts.points:
         return _within(df, list(keys), order, row_number, sums, lags, fills)
 
     original = df.columns
+    hot = is_hot(df, keys, cuts.hot)
     cell = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)],
-                    slice_number(position, cuts).alias("slice"))
+                    F.when(hot, slice_number(position, cuts.points)).otherwise(0).alias("slice"))
     sliced = df.withColumn("_cell", cell)
     along = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
     last_row = {f"_l{i}": F.max_by(F.col(c), along) for i, c in enumerate(lags.values())}
@@ -109,7 +142,7 @@ def running(
         for i, c in enumerate(fills.values())
     }
     totals = {f"_s{i}": F.sum(F.col(c)) for i, c in enumerate(sums.values())}
-    per_cell = sliced.groupBy("_cell").agg(
+    per_cell = sliced.where(hot).groupBy("_cell").agg(
         F.count(F.lit(1)).alias("_n"),
         *[a.alias(n) for n, a in {**totals, **last_row, **last_known}.items()],
     )
@@ -123,7 +156,7 @@ def running(
     carry = per_cell.select(F.col("_cell"), *[c.alias(n) for n, c in carried.items()])
 
     local = _within(sliced, ["_cell"], order, "_rn", sums, lags, fills)
-    both = local.join(carry, "_cell")
+    both = local.join(carry, "_cell", "left")
     # a sum over NULLs only is NULL, on either side of a cut
     result = {n: F.coalesce(F.col(n) + F.col(f"_s{i}"), F.col(n), F.col(f"_s{i}"))
               for i, n in enumerate(sums)}
@@ -155,6 +188,7 @@ def dense_rank(
     *,
     descending: bool = False,
     rows_per_slice: int = ROWS_PER_SLICE,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Dense rank of a numeric column per group; NULL values get a NULL rank.
 
@@ -164,7 +198,7 @@ def dense_rank(
     direction = -F.col(value) if descending else F.col(value)
     pairs = df.where(F.col(value).isNotNull()).select(*keys, value).distinct()
     ranked = running(pairs, keys, [direction], direction, row_number=name,
-                     rows_per_slice=rows_per_slice)
+                     rows_per_slice=rows_per_slice, cuts=cuts)
     pair = F.struct(*[F.col(k) for k in keys], F.col(value))
     right = ranked.select(pair.alias("_pair"), F.col(name).cast("int").alias(name))
     return df.withColumn("_pair", pair).join(right, "_pair", "left").drop("_pair")

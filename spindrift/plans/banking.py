@@ -184,11 +184,13 @@ def running_statement(
         F.col("balance").alias("value"), F.lit(None).cast("bigint").alias("transaction_id"),
     )
     entries = legs.unionByName(opening)
-    # highest value first within a day; cut points come from the details alone, before any join
+    # highest value first within a day
     order = [F.col("transaction_date"), -F.col("value"), F.col("transaction_id")]
-    size, most = details.agg(F.count(F.lit(1)), F.max(F.abs("value"))).first()
-    position = slices.spread(dates.day_number(F.col("transaction_date")), -F.col("value"), -(most or 0), most or 0)
-    cuts = slices.cuts_for(details, position, 2 * size, rows_per_slice)
+    most = details.agg(F.max(F.abs("value"))).first()[0] or 0
+    position = slices.spread(dates.day_number(F.col("transaction_date")), -F.col("value"), -most, most)
+    # measured before the join: account sizes on the paths, cut points on the details
+    sides = reshape.to_long(paths, [], ["account_to", "account_from"], value="account_number")
+    cuts = slices.measure(sides, ["account_number"], position, rows_per_slice, positions=details)
     run = slices.running(
         entries, ["account_number"], order, position,
         sums={"balance": "value"}, lags={"transaction_value": "value"}, cuts=cuts,
@@ -235,11 +237,13 @@ def balance_on(statements: DataFrame, day: str) -> DataFrame:
 
 
 def nearest_branch(
-    branches: DataFrame, customers: DataFrame, rows_per_slice: int = slices.ROWS_PER_SLICE
+    branches: DataFrame, customers: DataFrame, rows_per_slice: int | None = None
 ) -> DataFrame:
     """Nearest branch of every customer and the customer's priority there, nearest first.
 
-    Headers as landed (``Branch Long`` ...), in degrees; the result is in radians.
+    Headers as landed (``Branch Long`` ...), in degrees; the result is in radians. A branch has at
+    most 1.25 million different distances in hundredths of a mile, so ranking them needs no slices
+    unless ``rows_per_slice`` asks for them.
     """
     sites = branches.select(
         F.col("Branch").alias("branch"), F.radians("Branch Lat").alias("b_lat"),
@@ -253,7 +257,9 @@ def nearest_branch(
         points, sites, ("a_lat", "a_lon"), "branch", ("b_lat", "b_lon"), "distance_in_miles"
     )
     ranked = slices.dense_rank(
-        near, ["branch"], "distance_in_miles", "customer priority", rows_per_slice=rows_per_slice
+        near, ["branch"], "distance_in_miles", "customer priority",
+        rows_per_slice=rows_per_slice or slices.ROWS_PER_SLICE,
+        cuts=slices.NO_CUTS if rows_per_slice is None else None,
     )
     shown = {
         "branch": "Branch", "b_lon": "Branch Long", "b_lat": "Branch Lat", "customer": "Customer",
