@@ -240,7 +240,7 @@ def two_sided_ledger(t: Tables) -> DataFrame:
 
 @query("two_sided_ledger_sliced", _STATEMENT)
 def two_sided_ledger_sliced(t: Tables) -> DataFrame:
-    return _statement(t, rows_per_slice=20)
+    return _statement(t, rows_per_slice=32)
 
 
 def _statements(t: Tables) -> DataFrame:
@@ -320,4 +320,4 @@ def nearest_neighbour(t: Tables) -> DataFrame:
 
 @query("nearest_neighbour_sliced", _NEAREST)
 def nearest_neighbour_sliced(t: Tables) -> DataFrame:
-    return _nearest(t, rows_per_slice=10)
+    return _nearest(t, rows_per_slice=25)

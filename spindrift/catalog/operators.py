@@ -95,7 +95,7 @@ def group_values(t: Tables) -> DataFrame:
         "mean_value": numbers.mean(money("value"), 2), "most": F.max("value"), "least": F.min("value"),
         "rows": F.count(F.lit(1)), "_sum": F.sum(money("value")),
     }
-    joined = windows.with_group_values(t.events, ["user_id"], values)
+    joined = windows.with_group_values(t.events, ["user_id"], values, measured=True)
     share = money("value").cast("double") / F.col("_sum").cast("double")
     return joined.select(
         "event_id", "user_id", "mean_value", "most", "least", "rows", F.round(share, 9).alias("share")

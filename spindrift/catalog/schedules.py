@@ -119,7 +119,7 @@ def asof_forward(t: Tables) -> DataFrame:
 
 @query("asof_forward_sliced", _ASOF)
 def asof_forward_sliced(t: Tables) -> DataFrame:
-    return _asof(t, rows_per_slice=30)
+    return _asof(t, rows_per_slice=50)
 
 
 @query(

@@ -22,6 +22,12 @@ def mean(c: Column, digits: int) -> Column:
     return ratio(F.sum(c.cast("decimal(28,6)")), F.count(c), digits)
 
 
+def mean_over(c: Column, window, digits: int) -> Column:
+    """:func:`mean` over a window."""
+    exact = c.cast("decimal(28,6)")
+    return ratio(F.sum(exact).over(window), F.count(c).over(window), digits)
+
+
 def half_up(c: Column, digits: int = 0) -> Column:
     """Round half towards positive infinity."""
     scale = 10**digits

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from spindrift.functions.numbers import EARTH_RADIUS_MILES, great_circle_miles
 from spindrift.operators import slices
+from spindrift.operators.windows import broadcast_if_small
 
 MILES_PER_DEGREE = EARTH_RADIUS_MILES * pi / 180
 
@@ -77,8 +78,10 @@ def range_left(
     else:
         bounds = bands.withColumns({"_lo": lo, "_hi": hi})
     first, last = F.floor(F.col("_lo") / width), F.floor(F.col("_hi") / width)
-    listed = bounds.where(F.col("_lo") <= F.col("_hi")).withColumn(
-        "_bin", F.explode(F.sequence(first, last))
+    listed = broadcast_if_small(
+        bounds.where(F.col("_lo") <= F.col("_hi")).withColumn(
+            "_bin", F.explode(F.sequence(first, last))
+        )
     )
     probe = facts.withColumn("_bin", F.floor(F.col(value) / width))
     probe = probe.withColumnRenamed(value, "_value")

@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from math import ceil, isqrt
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ROWS_PER_SLICE = 1_000_000
 MAX_SLICES = 4096
@@ -28,10 +28,13 @@ MAX_HOT_GROUPS = 1000
 
 @dataclass(frozen=True)
 class Cuts:
-    """Ascending cut points and the groups they apply to, every group when ``hot`` is None."""
+    """Ascending cut points and hashes of the groups they apply to, all groups for None.
+
+    A group that shares a hash with a hot one is cut too, which does no harm.
+    """
 
     points: Sequence[float] = ()
-    hot: Sequence[Row] | None = None
+    hot: Sequence[int] | None = None
 
 
 NO_CUTS = Cuts()
@@ -50,17 +53,17 @@ def measure(
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     large = sizes.where(F.col("_size") > rows_per_slice).orderBy(F.col("_size").desc())
-    found = large.limit(MAX_HOT_GROUPS + 1).collect()
+    found = large.select(_hash(keys).alias("_hash"), "_size").limit(MAX_HOT_GROUPS + 1).collect()
     if not found:
         return NO_CUTS
     hot, rows = None, sum(r["_size"] for r in found)
     if len(found) > MAX_HOT_GROUPS:
         rows = df.count()
     elif keys:
-        hot = tuple(r[:-1] for r in found)
+        hot = tuple(r["_hash"] for r in found)
     slices = min(ceil(rows / rows_per_slice), MAX_SLICES)
     if positions is None:
-        positions = df if hot is None else df.where(is_hot(df, keys, hot))
+        positions = df.where(is_hot(keys, hot))
     shares = [i / slices for i in range(1, slices)]
     points = positions.agg(
         F.percentile_approx(position.cast("double"), shares, max(10_000, 10 * slices)).alias("p")
@@ -68,12 +71,12 @@ def measure(
     return Cuts(sorted(set(points or [])), hot)
 
 
-def is_hot(df: DataFrame, keys: Sequence[str], hot: Sequence[Row] | None) -> Column:
-    if hot is None:
-        return F.lit(True)
-    types = [df.schema[k].dataType for k in keys]
-    groups = [F.struct(*[F.lit(v).cast(t) for v, t in zip(row, types)]) for row in hot]
-    return F.struct(*[F.col(k) for k in keys]).isin(*groups)
+def is_hot(keys: Sequence[str], hot: Sequence[int] | None) -> Column:
+    return F.lit(True) if hot is None else _hash(keys).isin(list(hot))
+
+
+def _hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(F.lit(0), *[F.col(k) for k in keys])
 
 
 def slice_number(position: Column, cuts: Sequence[float]) -> Column:
@@ -131,7 +134,7 @@ def running(
         return _within(df, list(keys), order, row_number, sums, lags, fills)
 
     original = df.columns
-    hot = is_hot(df, keys, cuts.hot)
+    hot = is_hot(keys, cuts.hot)
     cell = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)],
                     F.when(hot, slice_number(position, cuts.points)).otherwise(0).alias("slice"))
     sliced = df.withColumn("_cell", cell)

@@ -26,19 +26,42 @@ def top_dense(
 ) -> DataFrame:
     """Rows whose value is among the ``n`` best distinct values of the group, all ties kept.
 
-    The distinct values are limited before the shuffle; the rows join the few that remain.
+    The best value of each of some hash buckets is a real value, so the n-th best of those is a
+    floor under the n-th best of all. Only rows at or above the floor are compared further; the
+    rest never leave their task. A group with fewer than ``n`` buckets in use keeps all rows.
     """
     marked = df.withColumn("_value", value).where(F.col("_value").isNotNull())
-    order = F.col("_value").desc() if descending else F.col("_value").asc()
-    best = top_rows(marked.select(*keys, "_value").distinct(), keys, [order], n, name)
-    pair = F.struct(*[F.col(k) for k in keys], F.col("_value"))
+    best_of, order = (F.max, F.col("_value").desc()) if descending else (F.min, F.col("_value").asc())
+    bucket = F.pmod(F.xxhash64("_value"), F.lit(max(64, 4 * n)))
+    per_bucket = marked.groupBy(*keys, bucket.alias("_bucket")).agg(best_of("_value").alias("_value"))
+    group = F.struct(F.lit(0).alias("_"), *[F.col(k) for k in keys])
+    floors = top_rows(per_bucket, keys, [order], n, "_place").where(F.col("_place") == n)
+    floors = broadcast_if_small(floors.select(group.alias("_group"), F.col("_value").alias("_floor")))
+    kept = marked.withColumn("_group", group).join(floors, "_group", "left")
+    above = F.col("_value") >= F.col("_floor") if descending else F.col("_value") <= F.col("_floor")
+    kept = kept.where(F.coalesce(above, F.lit(True))).drop("_floor")
+
+    pair = F.struct(F.col("_group"), F.col("_value"))
+    best = top_rows(kept.select("_group", "_value").distinct(), ["_group"], [order], n, name)
     return (
-        marked.withColumn("_pair", pair)
+        kept.withColumn("_pair", pair)
         .join(best.select(pair.alias("_pair"), name), "_pair")
-        .drop("_pair", "_value")
+        .drop("_pair", "_group", "_value")
     )
 
 
+def broadcast_if_small(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """A broadcast copy of a table that has at most ``most`` rows, else the table as it is.
+
+    The rows are computed here and now, once. Joins on few distinct keys should not shuffle the
+    facts, and Spark cannot know the size of an aggregate before it runs.
+    """
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def bounded_dense_rank(keys: Sequence[str], value: str, *, descending: bool = False) -> Column:
     """Dense rank for bounded groups; NULL values get a NULL rank."""
     c = F.col(value)
@@ -47,15 +70,19 @@ def bounded_dense_rank(keys: Sequence[str], value: str, *, descending: bool = Fa
     return F.when(c.isNotNull(), rank)
 
 
-def with_group_values(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
+def with_group_values(
+    df: DataFrame, keys: Sequence[str], values: Mapping[str, Column], *, measured: bool = False
+) -> DataFrame:
     """Group aggregates beside every row.
 
     An aggregate (combined before its shuffle) joined back, instead of a window that would move
     every row of a hot group to one task; the join is open to broadcast and skew handling.
+    ``measured`` computes the aggregate at once and broadcasts it when it is small.
     """
     per_group = df.groupBy(*keys).agg(*[c.alias(n) for n, c in values.items()])
     group = F.struct(*[F.col(k) for k in keys])
     right = per_group.select(group.alias("_group"), *values)
+    right = broadcast_if_small(right) if measured else right
     return df.withColumn("_group", group).join(right, "_group").drop("_group")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spindrift.functions import cases, dates, numbers, text
 from spindrift.operators import calendar, joins, reshape, slices, windows
@@ -23,7 +23,7 @@ PLATFORMS = ("Mobile App", "Online Interface")
 
 def account_codes(transactions: DataFrame, banks: DataFrame, country: str = COUNTRY) -> DataFrame:
     """International account code of every transaction."""
-    joined = transactions.join(banks, "bank")
+    joined = transactions.join(windows.broadcast_if_small(banks), "bank")
     sort_code = F.regexp_replace("sort_code", "-", "")
     code = text.joined("", F.lit(country), "check_digits", "swift_code", sort_code, "account_number")
     return joined.select("transaction_id", code.alias("IBAN"))
@@ -92,19 +92,22 @@ def monthly_bank_rank(transactions: DataFrame) -> DataFrame:
 
 
 def rank_by_month(facts: DataFrame) -> DataFrame:
-    """:func:`monthly_bank_rank` from bank, day and value."""
+    """:func:`monthly_bank_rank` from bank, day and value.
+
+    After the sum a bank has at most twelve rows, and so has a rank unless banks tie.
+    """
     totals = facts.groupBy("bank", dates.month_name(F.col("day")).alias("month")).agg(
         F.sum("value").alias("value")
     )
     ranked = totals.withColumn(
         "bank_rank_per_month", windows.bounded_dense_rank(["month"], "value", descending=True)
     )
-    ranked = windows.with_group_values(
-        ranked, ["bank"], {"avg_rank_per_bank": numbers.mean(F.col("bank_rank_per_month"), 2)}
+    ranked = ranked.withColumn(
+        "avg_rank_per_bank", numbers.mean_over(F.col("bank_rank_per_month"), Window.partitionBy("bank"), 2)
     )
-    return windows.with_group_values(
-        ranked, ["bank_rank_per_month"],
-        {"avg_transaction_value_per_rank": numbers.mean(F.col("value"), 2)},
+    by_rank = Window.partitionBy("bank_rank_per_month")
+    return ranked.withColumn(
+        "avg_transaction_value_per_rank", numbers.mean_over(F.col("value"), by_rank, 2)
     )
 
 

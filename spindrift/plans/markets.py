@@ -126,13 +126,17 @@ def trade_summary(
     wide = reshape.to_wide(
         cells.where(F.col("value").isNotNull()), ids, "Indicator", indicators, F.sum("value")
     )
-    points = codes.select("ISO3 CODE", "geo_point_2d").na.drop().select(
-        F.col("ISO3 CODE").alias("iso3"),
-        text.part("geo_point_2d", ",", 1).cast("double").alias("latitude"),
-        text.part("geo_point_2d", ",", -1).cast("double").alias("longitude"),
+    points = windows.broadcast_if_small(
+        codes.select("ISO3 CODE", "geo_point_2d").na.drop().select(
+            F.col("ISO3 CODE").alias("iso3"),
+            text.strip_ws(text.part("geo_point_2d", ",", 1)).cast("double").alias("latitude"),
+            text.strip_ws(text.part("geo_point_2d", ",", -1)).cast("double").alias("longitude"),
+        )
+    )
+    partners = windows.broadcast_if_small(
+        kept.select(F.col("country_code").alias("code_partner"), F.col("Reporter").alias("Partner"))
+        .dropDuplicates()
     )
-    partners = kept.select(F.col("country_code").alias("code_partner"),
-                           F.col("Reporter").alias("Partner")).dropDuplicates()
     there = points.toDF("code_partner", "latitude_partner", "longitude_partner")
     located = (
         wide.join(points.withColumnRenamed("iso3", "country_code"), "country_code", "left")

@@ -98,8 +98,9 @@ def low_in_several(
     """
     marks = reshape.to_long(results, ["student_id"], subjects, name="subject", value="score")
     bounds = slices.quantiles(marks, ["subject"], "score", QUARTILES, rows_per_slice=rows_per_slice)
-    tiled = marks.join(bounds, "subject").withColumn("number", quartile_tile(F.col("score")))
-    ranged = tiled.join(tiles, "number").join(
+    # one row per subject
+    tiled = marks.join(F.broadcast(bounds), "subject").withColumn("number", quartile_tile(F.col("score")))
+    ranged = tiled.join(windows.broadcast_if_small(tiles), "number").join(
         trimmed(students, "student_id").where(F.col("class").isin(*classes)), "student_id"
     )
     wide = reshape.to_wide(ranged, ["full_name", "class"], "subject", subjects, F.min("range"))
@@ -222,7 +223,7 @@ def track_qualifiers(
 ) -> DataFrame:
     """Students under the benchmark of their age, gender and event, ranked per event."""
     run = students.join(times, "id")
-    limits = benchmarks.withColumnRenamed("event", "track_event")
+    limits = windows.broadcast_if_small(benchmarks.withColumnRenamed("event", "track_event"))
     beaten = run.join(limits, ["age", "gender", "track_event"]).where(
         F.col("time") < F.col("benchmark")
     )
