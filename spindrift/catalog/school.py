@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spindrift.catalog.base import Tables, doubles, longs, money, query, sql_ratio
@@ -61,10 +63,10 @@ def yoy_decline(t: Tables) -> DataFrame:
 @query(
     "bucket_flags",
     f"""
-    SELECT o_orderkey AS student_id, CAST(CAST(o_totalprice / 1000 AS DECIMAL(18,2)) AS DOUBLE) AS test_score,
+    SELECT o_orderkey AS student_id, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.001 AS DOUBLE) AS test_score,
       {_sql_pick("o_orderkey", "English", "English", "Science", "Math")} AS subject, 'First' AS first_name,
       'Last' || CAST(c_custkey AS VARCHAR) AS last_name,
-      CAST(round(CAST(o_totalprice / 1000 AS DECIMAL(18,2)), 0) AS DOUBLE) AS test_score_int,
+      CAST(round(CAST(o_totalprice AS DECIMAL(18,2)) * 0.001, 0) AS DOUBLE) AS test_score_int,
       CASE WHEN c_custkey % 101 < 70 THEN 'Low Attendance' WHEN c_custkey % 101 > 90 THEN 'High Attendance'
            ELSE 'Medium Attendance' END AS attendance_flag,
       CAST(c_custkey % 101 AS DOUBLE) / 100 AS attendance_percentage
@@ -73,7 +75,7 @@ def yoy_decline(t: Tables) -> DataFrame:
 def bucket_flags(t: Tables) -> DataFrame:
     scores = t.orders.select(
         F.col("o_orderkey").alias("student_id"),
-        (F.col("o_totalprice") / 1000).cast("decimal(18,2)").alias("test_score"),
+        (money("o_totalprice") * Decimal("0.001")).alias("test_score"),
         _pick(F.col("o_orderkey"), "Eng", "Englsh", "Scince", "Math").alias("subject"),
         F.concat(F.lit("First_Last"), F.col("o_custkey").cast("string")).alias("student_name"),
         F.col("o_orderdate").alias("test_date"),
