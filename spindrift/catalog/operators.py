@@ -293,6 +293,35 @@ def top_rows(t: Tables) -> DataFrame:
     return longs(best.select("event_id", "event_type", "value", "place"), "place")
 
 
+_RANKED = """
+    SELECT o_orderkey, status, CASE WHEN price IS NOT NULL THEN
+        CAST(dense_rank() OVER (PARTITION BY status ORDER BY price DESC NULLS LAST) AS BIGINT) END AS place
+    FROM (SELECT o_orderkey, {status} AS status, nullif(floor(o_totalprice / 10), 20000) AS price FROM orders)"""
+
+
+def _ranked(t: Tables, keys: list[str], **options) -> DataFrame:
+    status = F.col("o_orderstatus") if keys else F.lit("all")
+    price = F.nullif(F.floor(F.col("o_totalprice") / 10), F.lit(20000))
+    facts = t.orders.select("o_orderkey", status.alias("status"), price.alias("price"))
+    ranked = slices.dense_rank(facts, keys, "price", "place", descending=True, **options)
+    return longs(ranked.select("o_orderkey", "status", "place"), "place")
+
+
+@query("dense_rank_groups", _RANKED.format(status="o_orderstatus"))
+def dense_rank_groups(t: Tables) -> DataFrame:
+    return _ranked(t, ["status"])
+
+
+@query("dense_rank_global", _RANKED.format(status="'all'"))
+def dense_rank_global(t: Tables) -> DataFrame:
+    return _ranked(t, [])
+
+
+@query("dense_rank_global_sliced", _RANKED.format(status="'all'"))
+def dense_rank_global_sliced(t: Tables) -> DataFrame:
+    return _ranked(t, [], rows_per_slice=2000)
+
+
 _RUNNING = """
     SELECT event_id, CAST(row_number() OVER w AS BIGINT) AS place,
       CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (w ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS total,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from spindrift.functions.numbers import EARTH_RADIUS_MILES, great_circle_miles
 from spindrift.operators import slices
-from spindrift.operators.windows import broadcast_if_small
+from spindrift.operators.windows import broadcast_if_small, small_copy
 
 MILES_PER_DEGREE = EARTH_RADIUS_MILES * pi / 180
 
@@ -139,7 +139,8 @@ def nearest_sites(
     that a cell holds about one site. For a cell with centre ``c`` and radius ``r`` only sites
     within ``nearest(c) + 2r`` can be the nearest one of a point inside, by the triangle
     inequality. These short lists are found from the occupied cells alone, through areas of
-    about 200 sites, and points then meet only the list of their own cell.
+    about 200 sites, and points then meet only the list of their own cell. Up to 100,000 list
+    entries are broadcast, so that points need no shuffle.
     """
     measured = sites.agg(
         F.count(F.lit(1)), *[f(F.degrees(c)) for c in site_at for f in (F.min, F.max)]
@@ -173,12 +174,13 @@ def nearest_sites(
         "_d", great_circle_miles(*_centre("_cell", degrees), F.col("lat"), F.col("lon"))
     )
     least = met.groupBy("_cell").agg(F.min("_d").alias("_least"))
-    lists = (
-        met.join(least, "_cell")
-        .where(F.col("_d") <= F.col("_least") + near)
-        .groupBy("_cell")
-        .agg(F.collect_list(F.struct("lat", "lon", "id")).alias("_sites"))
+    chosen = met.join(least, "_cell").where(F.col("_d") <= F.col("_least") + near)
+    chosen = chosen.select("_cell", "lat", "lon", "id")
+    copy = small_copy(chosen, 100_000)
+    lists = (chosen if copy is None else copy).groupBy("_cell").agg(
+        F.collect_list(F.struct("lat", "lon", "id")).alias("_sites")
     )
+    lists = lists if copy is None else F.broadcast(lists)
 
     seen = F.transform(
         "_sites",

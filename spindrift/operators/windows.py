@@ -50,16 +50,20 @@ def top_dense(
     )
 
 
+def small_copy(df: DataFrame, most: int = 10_000) -> DataFrame | None:
+    """The rows of a table as a local one, computed here and now, or None beyond ``most`` rows."""
+    rows = df.limit(most + 1).collect()
+    return df.sparkSession.createDataFrame(rows, df.schema) if len(rows) <= most else None
+
+
 def broadcast_if_small(df: DataFrame, most: int = 10_000) -> DataFrame:
     """A broadcast copy of a table that has at most ``most`` rows, else the table as it is.
 
-    The rows are computed here and now, once. Joins on few distinct keys should not shuffle the
-    facts, and Spark cannot know the size of an aggregate before it runs.
+    Joins on few distinct keys should not shuffle the facts, and Spark cannot know the size of
+    an aggregate before it runs.
     """
-    rows = df.limit(most + 1).collect()
-    if len(rows) > most:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    copy = small_copy(df, most)
+    return df if copy is None else F.broadcast(copy)
 
 
 def bounded_dense_rank(keys: Sequence[str], value: str, *, descending: bool = False) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from spindrift.functions import cases, dates, numbers, text
 from spindrift.operators import calendar, joins, reshape, slices, windows
@@ -185,10 +185,15 @@ def density_growth(
 def top_ranked(df: DataFrame, value: str, k: int, name: str, tie: str = "country_name") -> DataFrame:
     """The ``k`` first rows by descending dense rank over the whole table.
 
-    Their values are among the ``k`` largest distinct ones, so only those are ranked.
+    Only the ``k`` largest distinct values are ranked, and only their rows sorted.
     """
-    best = windows.top_dense(df.withColumn("_all", F.lit(0)), ["_all"], F.col(f"`{value}`"), k, name)
-    return best.drop("_all").orderBy(name, tie).limit(k)
+    column = F.col(f"`{value}`")
+    best = df.where(column.isNotNull()).select(column.alias("_value")).distinct()
+    best = best.orderBy(F.col("_value").desc()).limit(k)
+    best = best.withColumn(name, F.row_number().over(Window.orderBy(F.col("_value").desc())))
+    # k rows at most
+    found = df.join(F.broadcast(best), column == F.col("_value")).drop("_value")
+    return found.orderBy(name, tie).limit(k)
 
 
 def session_topics(sessions: DataFrame, word: str = "dedup") -> DataFrame:
