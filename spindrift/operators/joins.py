@@ -139,7 +139,7 @@ def nearest_sites(
     that a cell holds about one site. For a cell with centre ``c`` and radius ``r`` only sites
     within ``nearest(c) + 2r`` can be the nearest one of a point inside, by the triangle
     inequality. These short lists are found from the occupied cells alone, through areas of
-    about 200 sites, and points then meet only the list of their own cell. Up to 100,000 list
+    about sqrt(n) sites, and points then meet only the list of their own cell. Up to 100,000 list
     entries are broadcast, so that points need no shuffle.
     """
     measured = sites.agg(
@@ -150,7 +150,7 @@ def nearest_sites(
     lat, lon = (F.col(c) for c in site_at)
     here = tuple(F.col(c) for c in point_at)
 
-    wide = degrees * sqrt(200)
+    wide = degrees * max(measured[0], 1) ** 0.25  # an area holds about sqrt(n) of n sites
     placed = sites.select(
         lat.alias("lat"), lon.alias("lon"), F.col(site_id).alias("id"),
         _cell((lat, lon), wide).alias("_area"),
@@ -170,7 +170,8 @@ def nearest_sites(
     asked = listed.join(bound, "_cell").where(
         F.col("_d") - F.col("_reach") <= F.col("_bound") + near
     )
-    met = asked.select("_cell", "_area").join(placed, "_area").withColumn(
+    asked = broadcast_if_small(asked.select("_cell", "_area"), 100_000)
+    met = placed.join(asked, "_area").withColumn(
         "_d", great_circle_miles(*_centre("_cell", degrees), F.col("lat"), F.col("lon"))
     )
     least = met.groupBy("_cell").agg(F.min("_d").alias("_least"))
