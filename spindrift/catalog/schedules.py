@@ -84,7 +84,7 @@ def matrix_labels(t: Tables) -> DataFrame:
     marked = t.orders.select(_day().alias("d")).where((F.month("d") <= 3) & (F.dayofmonth("d") <= 4)).select(
         F.year("d").alias("y"), F.concat(F.lit("column_"), slot.cast("string")).alias("c")
     )
-    years = reshape.to_wide(marked, ["y"], "c", cells, F.min(F.col("y").cast("string")))
+    years = reshape.to_wide(marked, ["y"], "c", cells, F.col("y").cast("string"))
     body = years.select(
         F.lit(None).cast("string").alias("column_2"), F.col("y").cast("string").alias("column_3"), *cells
     )
@@ -119,7 +119,7 @@ def asof_forward(t: Tables) -> DataFrame:
 
 @query("asof_forward_sliced", _ASOF)
 def asof_forward_sliced(t: Tables) -> DataFrame:
-    return _asof(t, rows_per_slice=50)
+    return _asof(t, rows_per_slice=25)
 
 
 @query(
@@ -238,7 +238,7 @@ def _walks(t: Tables, **options) -> DataFrame:
             (F.col("number") % 100).alias("room"), F.floor(F.col("number") / 100).alias("f"),
             F.concat(F.lit("Some title - "), who, F.lit(" on "), what).alias("shown"),
         ),
-        ["room"], "f", [1, 2, 3], F.min("shown"),
+        ["room"], "f", [1, 2, 3], "shown",
     ).toDF("room", "floor_1", "floor_2", "floor_3")
     distances = small.select(
         F.col("number").cast("string").alias("room"),

@@ -51,7 +51,7 @@ def yoy_decline(t: Tables) -> DataFrame:
         "o_custkey",
         F.concat(F.year("o_orderdate").cast("string"), F.lit("-Q"), F.quarter("o_orderdate").cast("string")).alias("h"),
     )
-    wide = reshape.to_wide(counted, ["o_custkey"], "h", headers, F.count(F.lit(1)))
+    wide = reshape.to_wide(counted, ["o_custkey"], "h", headers, F.lit(1), F.sum)
     marks = wide.join(t.customer, F.col("o_custkey") == _key()).select(
         _key().alias("student_id"), F.col("c_name").alias("first_name"),
         F.col("c_mktsegment").alias("last_name"), *[f"`{h}`" for h in headers],

@@ -26,10 +26,8 @@ def scaffold(
     Facts hold at most one row per key and date. The date range is a scalar of the table; each
     key is exploded by itself, there is no product of tables.
     """
-    reach = facts.agg(F.min(date).alias("first"), F.max(date).alias("last"))
-    days = F.sequence(
-        reach.select("first").scalar(), reach.select("last").scalar(), F.expr(f"interval {step}")
-    )
+    reach = facts.agg(F.struct(F.min(date).alias("first"), F.max(date).alias("last"))).scalar()
+    days = F.sequence(reach["first"], reach["last"], F.expr(f"interval {step}"))
     grid = facts.select(*keys).distinct().withColumn(date, F.explode(days))
     return grid.join(facts, [*keys, date], "left")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -29,10 +29,22 @@ def to_long(
 
 
 def to_wide(
-    df: DataFrame, ids: Sequence[str], names_from: str, names: Sequence, cell: Column
+    df: DataFrame,
+    ids: Sequence[str],
+    names_from: str,
+    names: Sequence,
+    cell: Column | str,
+    how: Callable[[Column], Column] = F.min,
 ) -> DataFrame:
-    """One column per listed name. The list keeps the plan lazy and the schema fixed."""
-    return df.groupBy(*ids).pivot(names_from, list(names)).agg(cell)
+    """One column per listed name, its cells aggregated with ``how``.
+
+    The list keeps the schema fixed, and one conditional aggregate per name needs a single
+    shuffle, combined before it. ``how`` must skip NULLs, as cells of other names are NULL.
+    """
+    value = F.col(cell) if isinstance(cell, str) else cell
+    return df.groupBy(*ids).agg(
+        *[how(F.when(F.col(names_from) == F.lit(n), value)).alias(str(n)) for n in names]
+    )
 
 
 def split_rows(df: DataFrame, column: str, separator: str, cast: str | None = None) -> DataFrame:

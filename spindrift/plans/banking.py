@@ -63,7 +63,7 @@ def first_joining(sheets: DataFrame, year: int = 2023) -> DataFrame:
     # one cell per id, date and demographic; min makes a repeated cell well defined
     wide = reshape.to_wide(
         sheets.select("id", joined_on.alias("date"), "demographic", "value"),
-        ["id", "date"], "demographic", ["Ethnicity", "Date of Birth", "Account Type"], F.min("value"),
+        ["id", "date"], "demographic", ["Ethnicity", "Date of Birth", "Account Type"], "value",
     )
     born = dates.parse(F.col("Date of Birth"), "M/d/yyyy")
     return (

@@ -93,12 +93,11 @@ def recent_moving_average(trades: DataFrame, window: int, recent: int = 100) ->
     order = [F.col("_recency").desc(), F.col("purchase_price")]
     average = windows.rolling_mean_bounded(F.col("purchase_price"), ["sector"], order, window)
     shown = late.withColumn("_average", average).where(F.col("_recency") <= recent)
-    shown = windows.with_group_values(shown, ["sector"], {"_shown": F.max("_recency")})
     return shown.join(trades_in_sector, "sector").select(
         (F.col("_trades") - F.col("_recency") + 1).alias("trade_order"),
         "sector",
         F.round("_average", 2).cast("double").alias(f"{window}_prev_moving_avg"),
-        (F.col("_shown") - F.col("_recency") + 1).alias("prev_trades"),
+        (F.least(F.lit(recent), "_trades") - F.col("_recency") + 1).alias("prev_trades"),
     )
 
 
@@ -124,7 +123,7 @@ def trade_summary(
     )
     ids = [c for c in fixed if c != "Indicator"] + ["year"]
     wide = reshape.to_wide(
-        cells.where(F.col("value").isNotNull()), ids, "Indicator", indicators, F.sum("value")
+        cells.where(F.col("value").isNotNull()), ids, "Indicator", indicators, "value", F.sum
     )
     points = windows.broadcast_if_small(
         codes.select("ISO3 CODE", "geo_point_2d").na.drop().select(
@@ -151,7 +150,7 @@ def revenue_by_city(facts: DataFrame) -> DataFrame:
     clean = facts.withColumn("location", cases.canonical(F.col("location"), CITY_SPELLINGS))
     price, quantity = "Price (£) per pack", "Quant per Q"
     wide = reshape.to_wide(
-        clean, ["location", "nut_type"], "category", [price, quantity], F.min("value")
+        clean, ["location", "nut_type"], "category", [price, quantity], "value"
     )
     return wide.groupBy("location").agg(
         numbers.mean(quoted(price), 2).alias(price),
@@ -171,9 +170,9 @@ def meal_prices(prices: DataFrame, nutrition: DataFrame) -> DataFrame:
     per_type = meals.groupBy("Type").agg(
         numbers.mean(F.col("Price"), 2).alias("avg_price"), F.count("Type").alias("_n")
     )
-    total = windows.with_total(per_type, F.sum("_n"), "_all")
-    share = numbers.ratio(F.col("_n") * 100, F.col("_all"), 2)
-    return total.select("Type", "avg_price", numbers.half_up(share).cast("int").alias("pct_of_total"))
+    # three meal types at most
+    share = numbers.ratio(F.col("_n") * 100, F.sum("_n").over(Window.partitionBy()), 2)
+    return per_type.select("Type", "avg_price", numbers.half_up(share).cast("int").alias("pct_of_total"))
 
 
 def overhead_costs(sheets: DataFrame, names: Sequence[str] = COST_NAMES) -> DataFrame:
@@ -181,7 +180,7 @@ def overhead_costs(sheets: DataFrame, names: Sequence[str] = COST_NAMES) -> Data
 
     ``sheets``: school_name, year, month (name), name, value.
     """
-    wide = reshape.to_wide(sheets, ["school_name", "year", "month"], "name", names, F.min("value"))
+    wide = reshape.to_wide(sheets, ["school_name", "year", "month"], "name", names, "value")
     total = sum((quoted(n) for n in names[1:]), quoted(names[0]))
     day = dates.parse(text.joined("", "year", "month", F.lit("01")), "yyyyMMMMdd")
     return without(wide.withColumns({"total_cost": total, "date": day}), "year", "month")

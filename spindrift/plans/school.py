@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spindrift.functions import cases, dates, numbers, text
 from spindrift.operators import reshape, slices, windows
@@ -28,7 +28,7 @@ def yearly_decline(marks: DataFrame, years: tuple[str, str] = ("2021", "2022"))
     long = long.withColumn("_h", text.two_parts("header", "-", ("year", "category")))
     means = reshape.to_wide(
         long.select(*[quoted(c) for c in ids], "_h.year", "score"),
-        [f"`{c}`" for c in ids], "year", years, F.avg("score"),
+        [f"`{c}`" for c in ids], "year", years, "score", F.avg,
     )
     before, after = f"{years[0]}_avg", f"{years[1]}_avg"
     means = means.withColumnsRenamed({years[0]: before, years[1]: after})
@@ -73,7 +73,9 @@ def lowest_class(
     joined = trimmed(students, "student_id").join(results, "student_id")
     means = joined.groupBy("class").agg(*[numbers.mean(quoted(s), 2).alias(s) for s in subjects])
     long = reshape.to_long(means, ["class"], subjects, name="subject", value="grade")
-    lowest = windows.top_dense(long, ["subject"], F.col("grade"), 1, "_rank", descending=False)
+    # one row per class and subject; Spark keeps only the lowest before the shuffle
+    rank = F.dense_rank().over(Window.partitionBy("subject").orderBy("grade"))
+    lowest = long.where(F.col("grade").isNotNull()).withColumn("_rank", rank).where(F.col("_rank") == 1)
     return lowest.select("subject", "grade", "class")
 
 
@@ -103,7 +105,7 @@ def low_in_several(
     ranged = tiled.join(windows.broadcast_if_small(tiles), "number").join(
         trimmed(students, "student_id").where(F.col("class").isin(*classes)), "student_id"
     )
-    wide = reshape.to_wide(ranged, ["full_name", "class"], "subject", subjects, F.min("range"))
+    wide = reshape.to_wide(ranged, ["full_name", "class"], "subject", subjects, "range")
     low = F.filter(F.array(*[quoted(s) for s in subjects]), lambda r: F.contains(r, F.lit(LOWEST_RANGE)))
     return wide.withColumn("flag_how_many_25th", F.size(low)).where(
         F.col("flag_how_many_25th") >= least
@@ -149,15 +151,15 @@ def combine_feeds(
 ) -> DataFrame:
     """Both feeds, one row per student: total points and the grade of every subject.
 
-    Points and grades come out of the same aggregate.
+    One aggregate per person; an id's total runs over the few persons that share it.
     """
     marks = east_feed(east).unionByName(west_feed(west)).withColumn("_points", points(F.col("grade")))
-    scores = marks.groupBy("student_id").agg(F.sum("_points").alias("score"))
     person = ["student_id", "full_name", "date_of_birth", "region"]
-    wide = reshape.to_wide(marks, person, "subject", subjects, F.min("grade"))
-    lowered = wide.withColumnsRenamed({s: s.lower() for s in subjects})
+    grades = [F.min(F.when(F.col("subject") == s, F.col("grade"))).alias(s.lower()) for s in subjects]
+    combined = marks.groupBy(*person).agg(*grades, F.sum("_points").alias("_own"))
+    score = F.sum("_own").over(Window.partitionBy("student_id"))
     lookup = schools.withColumn("student_id", F.col("student_id").cast("int"))
-    return lowered.join(scores, "student_id").join(lookup, "student_id").select(
+    return combined.withColumn("score", score).join(lookup, "student_id").select(
         "student_id", "full_name", "date_of_birth", "score", "region",
         *[s.lower() for s in subjects], *[c for c in schools.columns if c != "student_id"],
     )
@@ -185,20 +187,23 @@ def ranked_applicants(applicants: DataFrame, places: Mapping[str, int] = PLACES)
     return best.where(F.col("student_rank") <= cases.lookup(region, dict(places)))
 
 
-def school_status(accepted: DataFrame) -> DataFrame:
-    """High, low or average performing school by its share of the region's accepted."""
-    schools = accepted.groupBy("region", "school_name").agg(F.count("student_id").alias("_n"))
-    with_sum = windows.with_group_values(schools, ["region"], {"_all": F.sum("_n")})
-    shares = with_sum.select("region", "school_name", numbers.ratio(F.col("_n"), F.col("_all"), 2).alias("_share"))
-    ends = windows.with_group_values(
-        shares, ["region"], {"_most": F.max("_share"), "_least": F.min("_share")}
+def with_school_status(accepted: DataFrame) -> DataFrame:
+    """High, low or average performing school by its share of the region's accepted.
+
+    A region has no more accepted students than places for each subject, so the windows are small.
+    """
+    region = Window.partitionBy("region")
+    own = F.count("student_id").over(Window.partitionBy("region", "school_name"))
+    shares = accepted.withColumn("_own", own).withColumn(
+        "_share", numbers.ratio(F.col("_own"), F.count("student_id").over(region), 2)
     )
+    ends = shares.withColumns({"_most": F.max("_share").over(region), "_least": F.min("_share").over(region)})
     status = cases.first_match(
         [(F.col("_share") == F.col("_most"), "High Performing"),
          (F.col("_share") == F.col("_least"), "Low Performing")],
         "Average Performing",
     )
-    return ends.select("region", "school_name", status.alias("school_status"))
+    return ends.withColumn("school_status", status).drop("_own", "_share", "_most", "_least")
 
 
 def admissions(students: DataFrame, extra: DataFrame) -> DataFrame:
@@ -210,8 +215,7 @@ def admissions(students: DataFrame, extra: DataFrame) -> DataFrame:
     miles = "distance_from_school_(miles)"
     known = students.withColumn("initials", text.initials("full_name"))
     joined = known.join(extra, keys).withColumn("distance", quoted(miles))
-    accepted = ranked_applicants(joined)
-    result = accepted.join(school_status(accepted), ["region", "school_name"])
+    result = with_school_status(ranked_applicants(joined))
     return without(
         result, "home_address", miles, "distance", "student_rank", "initials", "school_id"
     )
