@@ -50,3 +50,9 @@ def year_gap(later: Column, earlier: Column) -> Column:
 
 def day_number(c: Column) -> Column:
     return F.unix_date(c.cast("date"))
+
+
+def wall_micros(c: Column) -> Column:
+    """Microseconds of a timestamp without a zone, the same in every session zone."""
+    whole = F.unix_date(c.cast("date")).cast("bigint") * 86_400 + F.hour(c) * 3_600 + F.minute(c) * 60
+    return whole * 1_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")

@@ -7,6 +7,7 @@ from math import pi, sqrt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from spindrift.functions.dates import wall_micros
 from spindrift.functions.numbers import EARTH_RADIUS_MILES, great_circle_miles
 from spindrift.operators import slices
 from spindrift.operators.windows import broadcast_if_small, small_copy
@@ -28,11 +29,14 @@ def asof_forward(
     Both sides become one stream; read from the latest time down, the last right time seen is
     the answer. Equal times match because right rows come first.
     """
-    days = left.schema[left_time].dataType.typeName() == "date"
+    to_number = {
+        "date": lambda c: F.unix_date(c).cast("bigint"),
+        "timestamp": F.unix_micros,
+        "timestamp_ntz": wall_micros,
+    }[left.schema[left_time].dataType.typeName()]
 
     def ticks(name: str) -> Column:
-        c = F.col(name)
-        return F.unix_date(c).cast("bigint") if days else F.unix_micros(c.cast("timestamp"))
+        return to_number(F.col(name))
 
     facts = left.select(
         *keys, ticks(left_time).alias("_t"), F.lit(1).alias("_side"),

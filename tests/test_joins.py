@@ -29,6 +29,17 @@ def test_asof_forward(spark, limit, keys):
         assert got[i] == (min(later) if later else None)
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_asof_forward_by_time_of_day(spark, kind):
+    left = spark.createDataFrame([("2020-03-29 02:30:00.000001",), ("2020-03-29 03:00:00.5",)], "t string")
+    right = spark.createDataFrame([("2020-03-29 02:30:00.000002",), ("2020-03-29 03:00:00.5",)], "u string")
+    df = joins.asof_forward(
+        left.select(F.col("t").cast(kind)), right.select(F.col("u").cast(kind)), [], "t", "u"
+    )
+    found = df.orderBy("t").select(F.col("u").cast("string")).collect()
+    assert [r[0] for r in found] == ["2020-03-29 02:30:00.000002", "2020-03-29 03:00:00.5"]
+
+
 @pytest.mark.parametrize("open_ended", [False, True])
 @pytest.mark.parametrize("width", [1, 7])
 def test_range_left(spark, open_ended, width):
