@@ -115,7 +115,7 @@ def country_trade_summary(t: Tables) -> DataFrame:
         lines, ["Reporter", "Partner", "Product categories", "Indicator Type", "country_code", "year"],
         ["Quantity", "Price"], name="Indicator", value="amount",
     )
-    wide = reshape.to_wide(long, ids, "year", years, "amount", F.sum)
+    wide = reshape.to_wide(long, ids, "year", years, "amount", F.sum, coarse=True)
     sheet = wide.select(
         *ids, *[F.concat(F.lit("  "), F.col(f"`{y}`").cast("string"), F.lit(" ")).alias(y) for y in years]
     )

@@ -115,7 +115,7 @@ def unpivot_pivot_sum(t: Tables) -> DataFrame:
     measures = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     lines = t.lineitem.select(F.year("l_shipdate").cast("bigint").alias("y"), *measures)
     long = reshape.to_long(lines, ["y"], measures, cast="decimal(18,2)")
-    return doubles(reshape.to_wide(long, ["y"], "variable", measures, "value", F.sum), *measures)
+    return doubles(reshape.to_wide(long, ["y"], "variable", measures, "value", F.sum, coarse=True), *measures)
 
 
 @query(

@@ -35,13 +35,19 @@ def to_wide(
     names: Sequence,
     cell: Column | str,
     how: Callable[[Column], Column] = F.min,
+    *,
+    coarse: bool = False,
 ) -> DataFrame:
-    """One column per listed name, its cells aggregated with ``how``.
+    """One column per listed name, its cells aggregated with ``how``. The list fixes the schema.
 
-    The list keeps the schema fixed, and one conditional aggregate per name needs a single
-    shuffle, combined before it. ``how`` must skip NULLs, as cells of other names are NULL.
+    One conditional aggregate per name needs a single shuffle, which suits ids with few rows
+    each; ``how`` must skip NULLs, as cells of other names are NULL. For ``coarse`` ids with many
+    rows a pivot is cheaper: it computes one aggregate per row and its second shuffle is small.
     """
     value = F.col(cell) if isinstance(cell, str) else cell
+    if coarse:
+        marked = df.withColumn("_cell", value)
+        return marked.groupBy(*ids).pivot(names_from, list(names)).agg(how(F.col("_cell")))
     return df.groupBy(*ids).agg(
         *[how(F.when(F.col(names_from) == F.lit(n), value)).alias(str(n)) for n in names]
     )

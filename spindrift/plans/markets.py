@@ -123,7 +123,8 @@ def trade_summary(
     )
     ids = [c for c in fixed if c != "Indicator"] + ["year"]
     wide = reshape.to_wide(
-        cells.where(F.col("value").isNotNull()), ids, "Indicator", indicators, "value", F.sum
+        cells.where(F.col("value").isNotNull()), ids, "Indicator", indicators, "value", F.sum,
+        coarse=True,
     )
     points = windows.broadcast_if_small(
         codes.select("ISO3 CODE", "geo_point_2d").na.drop().select(

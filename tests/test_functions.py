@@ -117,8 +117,9 @@ def test_long_then_wide_is_identity(spark):
     df = spark.createDataFrame(rows, "id int, a int, `b c` int, d int")
     long = reshape.to_long(df, ["id"])
     assert long.count() == 15
-    wide = reshape.to_wide(long, ["id"], "variable", ["a", "b c", "d"], "value")
-    assert sorted(map(tuple, wide.collect())) == rows
+    for coarse in (False, True):
+        wide = reshape.to_wide(long, ["id"], "variable", ["a", "b c", "d"], "value", coarse=coarse)
+        assert wide.columns == df.columns and sorted(map(tuple, wide.collect())) == rows
 
 
 def test_split_rows(spark):
