@@ -13,6 +13,7 @@ from spindrift.operators.columns import quoted, renamed
 
 # Results carry these words.
 COUNTRY = "GB"
+BANK_CODE = "DSB"
 CHANNELS = {1: "Online"}
 OTHER_CHANNEL = "In-Person"
 PHONE_PREFIX = "07"
@@ -29,7 +30,7 @@ def account_codes(transactions: DataFrame, banks: DataFrame, country: str = COUN
     return joined.select("transaction_id", code.alias("IBAN"))
 
 
-def quarterly_variance(transactions: DataFrame, targets: DataFrame, code: str = "DSB") -> DataFrame:
+def quarterly_variance(transactions: DataFrame, targets: DataFrame, code: str = BANK_CODE) -> DataFrame:
     """Quarterly value per channel against its target.
 
     ``targets`` is wide: ``online_or_in_person`` and one column per quarter, ``q1`` to ``q4``.
