@@ -58,3 +58,42 @@ def record_batch(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, f.type, from_pandas=False)
          for c, f in zip(columns, schema)], schema=schema)
+
+
+def whole_groups(
+    batches: Iterable[pa.RecordBatch], keys: list[str], rows: int = 200_000
+) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups from input sorted by ``keys``, with the bounds of the groups.
+
+    Each table holds about ``rows`` rows, or one group that is larger.
+    """
+    held: list[pa.RecordBatch] = []
+    n = 0
+
+    def bounds(table: pa.Table) -> np.ndarray:
+        new = np.zeros(table.num_rows, dtype=bool)
+        new[0] = True
+        for key in keys:
+            v = table[key].to_numpy()
+            new[1:] |= v[1:] != v[:-1]
+        return np.append(np.flatnonzero(new), table.num_rows)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        n += batch.num_rows
+        if n < rows:
+            continue
+        table = pa.Table.from_batches(held)
+        at = bounds(table)
+        if len(at) > 2:
+            yield table.slice(0, int(at[-2])), at[:-1]
+            rest = table.slice(int(at[-2])).combine_chunks()
+            held, n = rest.to_batches(), rest.num_rows
+        else:
+            held, rows_seen = table.combine_chunks().to_batches(), n
+            rows = max(rows, 2 * rows_seen)
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, bounds(table)
