@@ -172,7 +172,7 @@ def _merged(who: np.ndarray, start: np.ndarray, length: int):
     new = np.ones(len(who), dtype=bool)
     new[1:] = (who[1:] != who[:-1]) | (start[1:] > start[:-1] + length)
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(who)) - 1
+    last = np.append(first[1:], len(who))[:len(first)] - 1
     return (who[first], (start[first] >> 32).astype(np.int32), start[first] & 0xFFFFFFFF,
             (start[last] & 0xFFFFFFFF) + length, np.zeros(len(first), np.int64))
 
