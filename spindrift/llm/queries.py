@@ -7,10 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spindrift.llm import fertility, packing, simhash, suffix_dedup
+from spindrift.llm import fertility, language, packing, simhash, suffix_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_warc": """
+        WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+        d AS (SELECT page_id, url, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+        SELECT page_id, url, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+        FROM f""",
+}
 
 
 def _query(build):
@@ -27,6 +36,11 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+@_query
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(_table(spark, folder, "pages"))
+
+
 @_query
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.digest(_table(spark, folder, "documents"))
@@ -37,6 +51,12 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@_query
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    return language.identify(documents, language.learn(documents.where(~language.held_out("doc_id"))))
+
+
 @_query
 def op9_fertility_rules(spark: SparkSession, folder: str) -> DataFrame:
     return fertility.judge(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
