@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spindrift.llm import fertility, language, packing, simhash, suffix_dedup, warc
+from spindrift.llm import fertility, language, mixing, packing, quality, simhash, suffix_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {
@@ -31,6 +31,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents"))
+
+
 @_query
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
@@ -60,3 +65,9 @@ def op8_language(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op9_fertility_rules(spark: SparkSession, folder: str) -> DataFrame:
     return fertility.judge(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_query
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    return quality.score(documents, quality.learn(documents, labels.where(~language.held_out("doc_id"))))
