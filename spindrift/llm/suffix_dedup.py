@@ -32,6 +32,7 @@ from spindrift.llm.words import byte_hasher, minimisers, mix, ragged
 LENGTH = 100
 ANCHOR = 32
 _LAST = (1 << 63) - 1
+_HOT_ROWS = 2000
 _ANCHORS = pa.schema([("gram", pa.int64()), ("region", pa.int64()), ("doc", pa.int64()),
                       ("at", pa.int64()), ("settled", pa.bool_())])
 _REGIONS = pa.schema([("gram", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()),
@@ -140,8 +141,8 @@ def suffix_order(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def _repeats(pieces: list[bytes], doc: np.ndarray, packed: np.ndarray, length: int):
-    """(doc, packed version and start) of strings of ``length`` bytes that come earlier too;
-    ``packed`` holds the start of every piece."""
+    """Piece and offset of strings of ``length`` bytes that come earlier in the pieces too;
+    ``packed`` holds version and start of every piece."""
     order, text, piece, left = suffix_order(pieces)
     order = order[left[order] >= length]
     if len(order) < 2:
@@ -154,15 +155,15 @@ def _repeats(pieces: list[bytes], doc: np.ndarray, packed: np.ndarray, length: i
     run = np.cumsum(~same)
     shared = same | np.append(same[1:], False)
     order, run = order[shared], run[shared]
-    begin = np.searchsorted(piece, np.arange(len(pieces)))
-    who = doc[piece[order]]
-    start = packed[piece[order]] + (order - begin[piece[order]])
+    of = piece[order]
+    offset = order - np.searchsorted(piece, np.arange(len(pieces)))[of]
+    who, start = doc[of], packed[of] + offset
     by = np.lexsort((start, who, run))
     run, who, start = run[by], who[by], start[by]
-    new = np.append(True, run[1:] != run[:-1])
+    new = np.append(True, run[1:] != run[:-1])[:len(run)]
     lead = np.maximum.accumulate(np.where(new, np.arange(len(run)), 0))
-    later = (who != who[lead]) | (start != start[lead])
-    return who[later], start[later]
+    later = by[(who != who[lead]) | (start != start[lead])]
+    return of[later], offset[later]
 
 
 def _merged(who: np.ndarray, start: np.ndarray, length: int):
@@ -222,24 +223,30 @@ def repeated_ranges(df: DataFrame, *, length: int = LENGTH, anchor: int = ANCHOR
             shards: list[list[int]] = [[]]
             for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 if hi - lo > rows:
-                    for a in range(lo, hi, 2000):
-                        yield from strings(region[a:min(a + 2000, hi)], doc[a:], packed[a:])
+                    for a in range(lo, hi, _HOT_ROWS):
+                        b = min(a + _HOT_ROWS, hi)
+                        yield from settle(region[a:b], doc[a:b], packed[a:b], hot=True)
                     continue
                 if len(shards[-1]) + hi - lo > rows:
                     shards.append([])
                 shards[-1].extend(range(lo, hi))
             for shard in filter(None, shards):
                 pick = np.array(shard)
-                yield record_batch(_RANGES, _merged(*_repeats(
-                    [region[i] for i in shard], doc[pick], packed[pick], length), length))
-
-    def strings(region: list[bytes], doc: np.ndarray, packed: np.ndarray):
-        """Every string of regions of a hot gram with its hash, to be settled by an aggregate."""
+                yield from settle([region[i] for i in shard], doc[pick], packed[pick], hot=False)
+
+    def settle(region: list[bytes], doc: np.ndarray, packed: np.ndarray, hot: bool):
+        """Ranges that repeat within the regions; of a part of a hot gram's regions, also every
+        other string with its hash, for an aggregate over all parts."""
+        of, offset = _repeats(region, doc, packed, length)
+        yield record_batch(_RANGES, _merged(doc[of], packed[of] + offset, length))
+        if not hot:
+            return
         sizes = np.fromiter(map(len, region), np.int64, len(region))
-        begins = np.cumsum(sizes) - sizes
-        count = sizes - length + 1
-        starts = ragged(begins, count)
-        owner = np.repeat(np.arange(len(region)), count)
+        begins, count = np.cumsum(sizes) - sizes, sizes - length + 1
+        first = np.ones(int(count.sum()), dtype=bool)
+        first[(np.cumsum(count) - count)[of] + offset] = False
+        starts = ragged(begins, count)[first]
+        owner = np.repeat(np.arange(len(region)), count)[first]
         hashed = byte_hasher(np.frombuffer(b"".join(region), np.uint8)).runs(starts, starts + length)
         place = packed[owner] + (starts - begins[owner])
         yield record_batch(_RANGES, [doc[owner], (place >> 32).astype(np.int32),
