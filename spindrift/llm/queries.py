@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spindrift.llm import fertility, language, mixing, neighbours, packing, quality, simhash, suffix_dedup, warc
+from spindrift.llm import fertility, language, mixing, neighbours, packing, passages, quality, simhash, suffix_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {
@@ -56,6 +56,11 @@ def op5_hilbert_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(_table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
 
 
+@_query
+def op6_chained_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.shared_passages(_table(spark, folder, "documents"))
+
+
 @_query
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -48,7 +48,11 @@ def _keyed(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Ids with null last, and a hash of the text that tells rows of one id apart."""
     return df.select(F.col(doc_id).cast("long").alias("d"), F.col(text).alias("t")).select(
         "d", "t", F.coalesce("d", F.lit(_LAST)).alias("doc"),
-        F.xxhash64("t").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("version"))
+        _version("t"))
+
+
+def _version(text: str) -> Column:
+    return F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("version")
 
 
 def anchors_of(texts: list[bytes], doc: np.ndarray, version: np.ndarray, length: int, anchor: int):
@@ -324,6 +328,52 @@ def remove_repeats(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
+def _whole_characters(body: bytes, ranges: list) -> list[tuple[int, int]]:
+    """The ranges united, each drawn in to the bounds of characters."""
+    out: list[list[int]] = []
+    for low, high in sorted(ranges):
+        high = min(high, len(body))
+        if out and low <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], high)
+        else:
+            out.append([low, high])
+    inner = lambda i: 0 < i < len(body) and body[i] & 0xC0 == 0x80
+    drawn = []
+    for low, high in out:
+        while low < high and inner(low):
+            low += 1
+        while high > low and inner(high):
+            high -= 1
+        if low < high:
+            drawn.append((low, high))
+    return drawn
+
+
+def without_repeats(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
+                    n_chars: str = "n_chars", **parameters) -> DataFrame:
+    """The rows of ``df`` with repeats cut from the text, which stays valid: a character goes only
+    as a whole. A null text stays null; the count of characters, where there is one, follows."""
+    others = [c for c in df.columns if c != text]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in bounded(batches, "t", 8 << 20):
+            new = []
+            for body, ranges in zip(batch["t"].cast(pa.binary()).to_pylist(), batch["ranges"].to_pylist()):
+                if body is not None and ranges:
+                    body = _cut(body, _whole_characters(body, [(x["first"], x["last"]) for x in ranges]))[0]
+                new.append(body)
+            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(new, pa.binary()).cast(pa.string())], ["row", "t"])
+
+    ranges = repeated_ranges(df, doc_id=doc_id, text=text, **parameters)
+    rows = df.select(F.struct(*others).alias("row"), F.col(doc_id).cast("long").alias("d"), F.col(text).alias("t"))
+    keyed = rows.select("row", "t", F.coalesce("d", F.lit(_LAST)).alias("doc"), _version("t"))
+    joined = _with_ranges(keyed, ranges).select("row", "t", "ranges")
+    done = joined.mapInArrow(cut, joined.select("row", "t").schema)
+    follow = lambda c: (F.char_length("t").cast(df.schema[c].dataType) if c == n_chars
+                        else F.col("row")[c])
+    return done.select(*[F.col("t").alias(text) if c == text else follow(c).alias(c) for c in df.columns])
+
+
 def digest(df: DataFrame, **parameters) -> DataFrame:
     """The rows of :func:`remove_repeats` without the bytes that are kept."""
     return remove_repeats(df, **parameters).drop("kept")
