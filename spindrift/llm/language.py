@@ -140,7 +140,7 @@ def compile_model(counts: dict[str, tuple[np.ndarray, np.ndarray]], *, least: in
     return Model(languages, symbol, node, bits.reshape(-1, len(languages)).astype(np.float32))
 
 
-def learn(df: DataFrame, *, documents: int = 1500, doc_id: str = "doc_id", text: str = "text",
+def learn(df: DataFrame, *, documents: int = 1000, doc_id: str = "doc_id", text: str = "text",
           lang: str = "lang", **parameters) -> Model:
     """Model of rows with a text and a language, from at most ``documents`` of each language."""
     rows = df.select(F.col(doc_id).alias("d"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("t")

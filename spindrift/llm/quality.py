@@ -160,7 +160,7 @@ def _parting(score: np.ndarray, labels: np.ndarray) -> float:
     return float((edges[best[0]] + edges[best[-1] + 1]) / 2)
 
 
-def learn(df: DataFrame, labels: DataFrame, *, documents: int = 2000, passages: int = 48,
+def learn(df: DataFrame, labels: DataFrame, *, documents: int = 1000, passages: int = 48,
           doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Network | None:
     """Fit to ``labels (doc_id, label)``; None if either label has no document.
 
