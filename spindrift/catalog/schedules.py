@@ -128,8 +128,8 @@ def asof_forward_sliced(t: Tables) -> DataFrame:
     WITH moons AS (
       SELECT DISTINCT CAST(o_orderdate AS DATE) AS m, CASE o_orderstatus
         WHEN 'F' THEN 'total lunar eclipse takes place' WHEN 'O' THEN 'blue moon' END AS note
-      FROM orders WHERE o_custkey % 10 = 0),
-    holidays AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS h FROM orders WHERE o_orderkey % 50 = 0),
+      FROM orders),
+    holidays AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS h FROM orders WHERE o_orderstatus = 'P'),
     ahead AS (SELECT m, note, (SELECT min(h) FROM holidays WHERE h >= m) AS h FROM moons),
     gaps AS (SELECT *, h - m AS gap, min(h - m) OVER (PARTITION BY h) AS least FROM ahead WHERE h IS NOT NULL)
     SELECT CAST(gap AS BIGINT) AS days_between, count(*) AS num_occurrences, max(note) AS full_moon_notes,
@@ -138,11 +138,11 @@ def asof_forward_sliced(t: Tables) -> DataFrame:
 )
 def moon_to_holiday(t: Tables) -> DataFrame:
     mark = F.when(F.col("o_orderstatus") == "F", "04:12 **").when(F.col("o_orderstatus") == "O", "23:01+").otherwise("11:00")
-    sheet = t.orders.where("o_custkey % 10 = 0").select(
+    sheet = t.orders.select(
         F.date_format("o_orderdate", "EEEE").alias("day"),
         F.concat(F.lit(" "), F.date_format("o_orderdate", "d MMMM yyyy")).alias("date"), mark.alias("time"),
     )
-    holidays = t.orders.where("o_orderkey % 50 = 0").select(_day().alias("date")).distinct()
+    holidays = t.orders.where("o_orderstatus = 'P'").select(_day().alias("date")).distinct()
     result = schedules.moon_to_holiday(schedules.moon_notes(sheet).distinct(), holidays)
     return longs(result, "days_between", "fm_date", "easter_sunday")
 
@@ -272,7 +272,8 @@ def matrix_join_symmetric(t: Tables) -> DataFrame:
     FROM days LEFT JOIN orders ON CAST(o_orderdate AS DATE) = date GROUP BY 1""",
 )
 def order_calendar(t: Tables) -> DataFrame:
-    daily = t.orders.groupBy(_day().alias("date")).agg(
+    in_range = F.col("o_orderdate").between("1996-01-01", "1996-12-31 23:59:59.999999")
+    daily = t.orders.where(in_range).groupBy(_day().alias("date")).agg(
         F.count("o_orderkey").alias("orders"), F.sum(money("o_totalprice")).alias("value")
     )
     days = calendar.date_table(t.spark, "1996-01-01", "1996-12-31")

@@ -8,23 +8,27 @@ EARTH_RADIUS_MILES = 3963  # fixed value: results depend on it
 WALKING_METRES_PER_SECOND = 1.2  # fixed value
 
 
+_EXACT = "decimal(28,8)"
+
+
 def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
     """``numerator / denominator`` rounded half away from zero; NULL for a zero denominator.
 
-    The division runs in decimal arithmetic, so ties round the way they do on paper.
+    The division runs in decimal arithmetic with ten digits behind the point, so ties round the
+    way they do on paper. Operands keep eight digits behind the point.
     """
-    exact = F.try_divide(numerator.cast("decimal(28,6)"), denominator.cast("decimal(20,2)"))
+    exact = F.try_divide(numerator.cast(_EXACT), denominator.cast("decimal(22,8)"))
     return F.round(exact, digits).cast("double")
 
 
 def mean(c: Column, digits: int) -> Column:
     """Group mean rounded half away from zero, NULLs skipped; map-side combinable."""
-    return ratio(F.sum(c.cast("decimal(28,6)")), F.count(c), digits)
+    return ratio(F.sum(c.cast(_EXACT)), F.count(c), digits)
 
 
 def mean_over(c: Column, window, digits: int) -> Column:
     """:func:`mean` over a window."""
-    exact = c.cast("decimal(28,6)")
+    exact = c.cast(_EXACT)
     return ratio(F.sum(exact).over(window), F.count(c).over(window), digits)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from math import pi, sqrt
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -26,34 +26,49 @@ def asof_forward(
 ) -> DataFrame:
     """Left rows with the earliest right time at or after their own, NULL when there is none.
 
-    Both sides become one stream; read from the latest time down, the last right time seen is
-    the answer. Equal times match because right rows come first.
+    All left rows of one key and time share the answer, so only the distinct ones take part: both
+    sides' become one stream, and read from the latest time down, the last right time seen is the
+    answer, which joins back to the rows. Equal times match because right times come first. A date
+    is midnight beside a timestamp.
     """
-    to_number = {
-        "date": lambda c: F.unix_date(c).cast("bigint"),
-        "timestamp": F.unix_micros,
-        "timestamp_ntz": wall_micros,
-    }[left.schema[left_time].dataType.typeName()]
-
-    def ticks(name: str) -> Column:
-        return to_number(F.col(name))
-
+    ticks = _ticks(left.schema[left_time].dataType.typeName(), right.schema[right_time].dataType.typeName())
     facts = left.select(
-        *keys, ticks(left_time).alias("_t"), F.lit(1).alias("_side"),
+        *keys, ticks(F.col(left_time)).alias("_t"), F.lit(1).alias("_side"),
         F.lit(None).cast(right.schema[right_time].dataType).alias("_found"),
-        F.struct(*left.columns).alias("_row"),
-    )
+    ).where(F.col("_t").isNotNull()).distinct()
     marks = right.where(F.col(right_time).isNotNull()).select(
-        *keys, ticks(right_time).alias("_t"), F.lit(0).alias("_side"),
+        *keys, ticks(F.col(right_time)).alias("_t"), F.lit(0).alias("_side"),
         F.col(right_time).alias("_found"),
-        F.lit(None).cast(facts.schema["_row"].dataType).alias("_row"),
     ).distinct()
     seen = slices.running(
         facts.unionByName(marks), keys, [-F.col("_t"), F.col("_side")], -F.col("_t"),
         fills={"_next": "_found"}, rows_per_slice=rows_per_slice,
     )
-    matched = F.when(F.col("_t").isNotNull(), F.col("_next")).alias(right_time)
-    return seen.where(F.col("_side") == 1).select("_row.*", matched)
+    group = F.struct(F.lit(0).alias("_"), *[F.col(k) for k in keys])
+    answers = seen.where((F.col("_side") == 1) & F.col("_next").isNotNull()).select(
+        group.alias("_group"), "_t", F.col("_next").alias(right_time))
+    timed = left.withColumns({"_group": group, "_t": ticks(F.col(left_time))})
+    kept = [F.col(f"l.{quote(c)}") for c in left.columns]
+    same = (F.col("l._group") == F.col("r._group")) & (F.col("l._t") == F.col("r._t"))
+    return timed.alias("l").join(answers.alias("r"), same, "left").select(
+        *kept, F.col(f"r.{quote(right_time)}").alias(right_time))
+
+
+def quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _ticks(left: str, right: str) -> Callable[[Column], Column]:
+    """A whole number that orders times of both types alike."""
+    numbers = {
+        "date": lambda c: F.unix_date(c).cast("bigint"),
+        "timestamp": lambda c: F.unix_micros(c.cast("timestamp")),
+        "timestamp_ntz": lambda c: wall_micros(c.cast("timestamp_ntz")),
+    }
+    for kind in (left, right):
+        if kind not in numbers:
+            raise TypeError(f"cannot match times of type {kind}")
+    return numbers[max(left, right)] if "timestamp" not in (left, right) else numbers["timestamp"]
 
 
 def range_left(

@@ -22,7 +22,6 @@ from math import ceil, isqrt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ROWS_PER_SLICE = 1_000_000
-MAX_SLICES = 4096
 MAX_HOT_GROUPS = 1000
 
 
@@ -49,7 +48,7 @@ def measure(
     Any cut points give right results, so ``positions`` may be a cheaper table whose positions
     are spread alike, and ``df`` a cheaper one with the same group sizes. At most
     ``MAX_HOT_GROUPS`` + 1 group sizes come to the driver; when there are more hot groups, every
-    group is cut.
+    group is cut. The number of slices follows the rows; a cut point is one literal number.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     large = sizes.where(F.col("_size") > rows_per_slice).orderBy(F.col("_size").desc())
@@ -61,7 +60,7 @@ def measure(
         rows = df.count()
     elif keys:
         hot = tuple(r["_hash"] for r in found)
-    slices = min(ceil(rows / rows_per_slice), MAX_SLICES)
+    slices = ceil(rows / rows_per_slice)
     if positions is None:
         positions = df.where(is_hot(keys, hot))
     shares = [i / slices for i in range(1, slices)]
@@ -124,7 +123,8 @@ def running(
     ``order`` holds ascending expressions that rank rows uniquely (negate a column to descend);
     ``position`` is numeric and never decreases along that order. ``row_number`` names a
     1-based rank; ``sums``, ``lags`` and ``fills`` map a new column to the column it runs over:
-    running sum, previous row's value, last value that is not NULL. ``cuts`` replaces the
+    running sum, previous row's value, last value that is not NULL. A running sum of doubles
+    depends on the order of addition in its last digits, so give decimals. ``cuts`` replaces the
     measured cut points.
     """
     sums, lags, fills = dict(sums or {}), dict(lags or {}), dict(fills or {})
@@ -161,8 +161,9 @@ def running(
     local = _within(sliced, ["_cell"], order, "_rn", sums, lags, fills)
     both = local.join(carry, "_cell", "left")
     # a sum over NULLs only is NULL, on either side of a cut
+    # and the type of a sum is that of the plain window, however the rows are cut
     result = {n: F.coalesce(F.col(n) + F.col(f"_s{i}"), F.col(n), F.col(f"_s{i}"))
-              for i, n in enumerate(sums)}
+              .cast(local.schema[n].dataType) for i, n in enumerate(sums)}
     result |= {n: F.when(F.col("_rn") == 1, F.col(f"_l{i}")).otherwise(F.col(n))
                for i, n in enumerate(lags)}
     result |= {n: F.coalesce(F.col(n), F.col(f"_f{i}")) for i, n in enumerate(fills)}

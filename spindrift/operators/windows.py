@@ -26,28 +26,12 @@ def top_dense(
 ) -> DataFrame:
     """Rows whose value is among the ``n`` best distinct values of the group, all ties kept.
 
-    The best value of each of some hash buckets is a real value, so the n-th best of those is a
-    floor under the n-th best of all. Only rows at or above the floor are compared further; the
-    rest never leave their task. A group with fewer than ``n`` buckets in use keeps all rows.
+    Up to 1000 values, Spark keeps only rows of the ``n`` best of each task before the shuffle, so
+    a hot group stays small, but for its ties.
     """
-    marked = df.withColumn("_value", value).where(F.col("_value").isNotNull())
-    best_of, order = (F.max, F.col("_value").desc()) if descending else (F.min, F.col("_value").asc())
-    bucket = F.pmod(F.xxhash64("_value"), F.lit(max(64, 4 * n)))
-    per_bucket = marked.groupBy(*keys, bucket.alias("_bucket")).agg(best_of("_value").alias("_value"))
-    group = F.struct(F.lit(0).alias("_"), *[F.col(k) for k in keys])
-    floors = top_rows(per_bucket, keys, [order], n, "_place").where(F.col("_place") == n)
-    floors = broadcast_if_small(floors.select(group.alias("_group"), F.col("_value").alias("_floor")))
-    kept = marked.withColumn("_group", group).join(floors, "_group", "left")
-    above = F.col("_value") >= F.col("_floor") if descending else F.col("_value") <= F.col("_floor")
-    kept = kept.where(F.coalesce(above, F.lit(True))).drop("_floor")
-
-    pair = F.struct(F.col("_group"), F.col("_value"))
-    best = top_rows(kept.select("_group", "_value").distinct(), ["_group"], [order], n, name)
-    return (
-        kept.withColumn("_pair", pair)
-        .join(best.select(pair.alias("_pair"), name), "_pair")
-        .drop("_pair", "_group", "_value")
-    )
+    order = value.desc_nulls_last() if descending else value.asc_nulls_last()
+    rank = F.dense_rank().over(Window.partitionBy(*keys).orderBy(order))
+    return df.where(value.isNotNull()).withColumn(name, rank).where(F.col(name) <= n)
 
 
 def small_copy(df: DataFrame, most: int = 10_000) -> DataFrame | None:

@@ -190,14 +190,15 @@ def running_statement(
     entries = legs.unionByName(opening)
     # highest value first within a day
     order = [F.col("transaction_date"), -F.col("value"), F.col("transaction_id")]
-    most = details.agg(F.max(F.abs("value"))).first()[0] or 0
-    position = slices.spread(dates.day_number(F.col("transaction_date")), -F.col("value"), -most, most)
-    # measured before the join: account sizes on the paths, cut points on the details
-    sides = reshape.to_long(paths, [], ["account_to", "account_from"], value="account_number")
-    cuts = slices.measure(sides, ["account_number"], position, rows_per_slice, positions=details)
+    ends = details.agg(F.max(F.abs("value")), F.min("transaction_id"), F.max("transaction_id")).first()
+    cents, first_id, last_id = 100 * float(ends[0] or 0), ends[1] or 0, ends[2] or 0
+    # days, amounts within a day and ids within an amount: any of them may hold most rows
+    by_id = slices.spread(F.round(-100 * F.col("value")), F.coalesce("transaction_id", F.lit(first_id)),
+                          first_id, last_id)
+    position = slices.spread(dates.day_number(F.col("transaction_date")), by_id, -cents, cents + 1)
     run = slices.running(
         entries, ["account_number"], order, position,
-        sums={"balance": "value"}, lags={"transaction_value": "value"}, cuts=cuts,
+        sums={"balance": "value"}, lags={"transaction_value": "value"}, rows_per_slice=rows_per_slice,
     )
     return run.select("account_number", "transaction_date", "transaction_value", "balance")
 

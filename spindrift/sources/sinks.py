@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import Column, DataFrame, types as T
 
 from spindrift.operators.columns import quoted
 
@@ -17,7 +17,11 @@ def write_csv(
     date_format: str = "yyyy-MM-dd",
     float_digits: int | None = None,
     separator: str = ",",
+    order_by: Sequence[str | Column] = (),
 ) -> None:
+    """``order_by`` sorts the rows over the files of the output, by range and not in one task."""
+    if order_by:
+        df = df.orderBy(*order_by)
     if float_digits is not None:
         fractional = (T.DoubleType, T.FloatType)
         df = df.select(
@@ -56,7 +60,19 @@ def write_formats(df: DataFrame, paths: Mapping[str, str]) -> None:
         kept.unpersist()
 
 
-def write_outputs(frames: Mapping[str, DataFrame], folder: str, **options) -> None:
-    """Several results of one job, one directory each."""
-    for name, df in frames.items():
-        write_csv(df, f"{folder}/{name}", **options)
+def write_outputs(
+    frames: Mapping[str, DataFrame], folder: str, *, shared: Sequence[DataFrame] = (), **options
+) -> None:
+    """Several results of one job, one directory each.
+
+    ``shared`` are tables that several results are made from; each is computed once. An executor
+    lost on the way costs the recomputation of its part.
+    """
+    for df in shared:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for name, df in frames.items():
+            write_csv(df, f"{folder}/{name}", **options)
+    finally:
+        for df in shared:
+            df.unpersist()
