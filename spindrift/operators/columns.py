@@ -14,7 +14,7 @@ def quoted(name: str) -> Column:
 
 
 def snake(name: str) -> str:
-    return name.strip().lower().replace(" ", "_")
+    return name.strip().lower().replace(" ", "_").replace("-", "_")
 
 
 def with_headers(df: DataFrame, how: Callable[[str], str] = snake) -> DataFrame:

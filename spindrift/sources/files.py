@@ -1,12 +1,14 @@
 """Reading landed text files.
 
-Every reader takes an explicit schema or reads all text; nothing is inferred, so a read costs
-one pass and a bad cell surfaces at the cast.
+Every reader takes an explicit schema or reads all text; nothing is inferred, so a read costs one
+pass. Headers that differ from the schema and cells that do not fit their type are errors, unless
+the caller asks for something else.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -29,11 +31,14 @@ def read_csv(
     encoding: str = "UTF-8",
     columns: Sequence[str] | None = None,
     headers: Callable[[str], str] | None = None,
+    by_position: bool = False,
+    bad_cells: str = "FAILFAST",
 ) -> DataFrame:
     """CSV at a path, glob or list of paths; all text when no schema is given.
 
-    A given schema goes by position, so files that spell a header differently line up and a
-    trailing extra column is left out. Bytes that are not valid in ``encoding`` become U+FFFD.
+    The header of every file must name the schema's columns in order, unless ``by_position``, when
+    the schema replaces it. ``bad_cells="PERMISSIVE"`` makes cells that do not fit NULL. Bytes that
+    are not valid in ``encoding`` become U+FFFD.
     """
     reader = (
         spark.read.option("header", header).option("sep", separator).option("encoding", encoding)
@@ -41,7 +46,8 @@ def read_csv(
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
     if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", True)
+        reader = reader.schema(schema).option("mode", bad_cells)
+        reader = reader.option("enforceSchema", by_position or not header)
     df = reader.csv(path)
     if columns is not None:
         df = df.select(*[F.col(f"`{c}`") for c in columns])
@@ -53,13 +59,45 @@ def read_many(
     path: str | Sequence[str],
     schema: T.StructType | str,
     from_name: Mapping[str, str],
+    spellings: Mapping[str, str] | None = None,
     **options,
 ) -> DataFrame:
-    """Many files of one schema in one scan, with columns cut from the decoded file path.
+    """Many files of one schema, with columns cut from the decoded file path.
 
-    ``from_name`` maps a new column to a regex whose first group is taken from the path.
+    ``from_name`` maps a new column to a regex whose first group is taken from the path. All files
+    have one header and are one scan, unless ``spellings`` is given: then columns are matched by
+    name, whatever their order; ``spellings`` maps a header to the schema's name for it, other
+    columns are left out, and a file that lacks a column is an error. That reads every file's
+    header first and makes a scan per distinct header.
     """
-    df = read_csv(spark, path, schema, **options)
+    if spellings is not None:
+        return _by_name(spark, path, schema, from_name, spellings, options)
+    return _from_path(read_csv(spark, path, schema, **options), from_name)
+
+
+def _by_name(spark, path, schema, from_name, spellings, options) -> DataFrame:
+    wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    files = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(files):
+        by_header.setdefault(tuple(read_csv(spark, file, **options).columns), []).append(file)
+    parts = []
+    for header, group in by_header.items():
+        names = [spellings.get(h, h) for h in header]
+        lacking = [f.name for f in wanted.fields if names.count(f.name) != 1]
+        if lacking:
+            raise ValueError(f"{group[0]} has no single column for {lacking}")
+        of = {f.name: f.dataType for f in wanted.fields}
+        own = T.StructType([T.StructField(h, of.get(n, T.StringType())) for h, n in zip(header, names)])
+        df = _from_path(read_csv(spark, group, own, **options), from_name)
+        parts.append(df.select(
+            *[F.col(f"`{header[names.index(f.name)]}`").alias(f.name) for f in wanted.fields], *from_name))
+    if not parts:
+        raise FileNotFoundError(str(path))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _from_path(df: DataFrame, from_name: Mapping[str, str]) -> DataFrame:
     source = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
     return df.select(
         *[F.col(f"`{c}`") for c in df.columns],
@@ -70,8 +108,12 @@ def read_many(
 def read_sheets(
     spark: SparkSession, folder: str, schema: T.StructType | str, sheet: str = "sheet", **options
 ) -> DataFrame:
-    """A workbook landed as one CSV per sheet; the file stem becomes the ``sheet`` column."""
+    """A workbook landed as one CSV per sheet; the file stem becomes the ``sheet`` column.
+
+    Columns are matched by header name; see ``spellings`` of :func:`read_many`.
+    """
     stem = {sheet: r"([^/]+)\.[^./]+$"}
+    options = {"spellings": {}, **options}
     return read_many(spark, f"{folder}/*.csv", schema, stem, **options)
 
 

@@ -45,10 +45,50 @@ def test_many_files_take_a_column_from_the_name(spark, tmp_path):
 def test_sheets_with_other_spellings_and_an_extra_column(spark, tmp_path):
     write(tmp_path / "book/January.csv", "id,demographic\n1,x\n")
     write(tmp_path / "book/May 2.csv", "id,Demagraphic,Comments\n2,y,hello\n")
-    df = files.read_sheets(spark, f"{tmp_path}/book", "id int, demographic string", "month")
+    df = files.read_sheets(spark, f"{tmp_path}/book", "id int, demographic string", "month",
+                            spellings={"Demagraphic": "demographic"})
     assert rows(df) == [(1, "x", "January"), (2, "y", "May 2")]
 
 
+def test_files_are_matched_by_header_name(spark, tmp_path):
+    write(tmp_path / "a/1.csv", "id,v\n1,a\n")
+    write(tmp_path / "a/2.csv", "v,id\nb,2\n")
+    write(tmp_path / "a/3.csv", "w,id,v\n9,3,c\n")
+    read = lambda **o: files.read_many(spark, f"{tmp_path}/a/*.csv", "id int, v string", {"n": r"(\d)\.csv$"}, **o)
+    assert rows(read(spellings={})) == [(1, "a", "1"), (2, "b", "2"), (3, "c", "3")]
+    with pytest.raises(Exception, match="(?i)header"):
+        read().collect()
+    write(tmp_path / "a/4.csv", "id\n4\n")
+    with pytest.raises(ValueError, match="4.csv has no single column"):
+        read(spellings={})
+
+
+def test_bad_cells_are_errors_unless_asked(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "id,v\nx,a\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_csv(spark, path, "id int, v string").collect()
+    assert rows(files.read_csv(spark, path, "id int, v string", bad_cells="PERMISSIVE")) == [(None, "a")]
+
+
+def test_landed_headers_fit_the_jobs(spark, tmp_path):
+    from spindrift.plans import banking
+
+    write(tmp_path / "t.csv", "Transaction Code,Value,Customer Ref,Online or In-Person,Transaction Date\n"
+          f"{banking.BANK_CODE.strip('^$')}-1,5,1,1,20/03/2023 00:00:00\n")
+    write(tmp_path / "g.csv", "Online or In-Person,Q1,Q2,Q3,Q4\nOnline,3,3,3,3\nIn-Person,2,2,2,2\n")
+    t = files.read_snake(spark, f"{tmp_path}/t.csv").withColumn("value", F.col("value").cast("int"))
+    got = rows(banking.quarterly_variance(t, files.read_snake(spark, f"{tmp_path}/g.csv")))
+    assert got == [(1, "Online", 5, 3, 2)]
+
+
+def test_ordered_output_and_shared_parent(spark, tmp_path):
+    df = spark.range(100).withColumn("k", F.col("id") * 37 % 100)
+    sinks.write_outputs({"o": df, "p": df.select("k")}, str(tmp_path), shared=[df], order_by=["k"])
+    parts = sorted((tmp_path / "o").glob("part-*"))
+    lines = [line.split(",")[1] for p in parts for line in p.read_text().splitlines()[1:]]
+    assert lines == [str(i) for i in range(100)]
+
+
 def test_headerless_with_title_rows(spark, tmp_path):
     path = write(tmp_path / "a.csv", "Title,,\n,,\n1,2,x\n")
     df = files.read_headerless(spark, path, 3, keep=F.col("column_2").isNotNull())
