@@ -192,8 +192,8 @@ def mixed(df: DataFrame, **parameters) -> DataFrame:
     key = parameters.get("doc_id", "doc_id")
     taken = mix(df, **parameters).where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    one = taken.select(F.col("doc_id").alias("_id"),
-                       F.round(F.col("_copies") / F.col("_rows")).cast("int").alias("_copies"))
-    times = F.coalesce("_copies", F.when(F.col(key).isNull(), 1), F.lit(0))
-    joined = df.join(one, df[key].cast("long") == one["_id"], "left")
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times))).select(*df.columns)
+    times = taken.select(F.col("doc_id").alias("of"), F.round(F.col("_copies") / F.col("_rows")).cast("int").alias("n"))
+    rows = df.select(F.struct(*df.columns).alias("row"), F.col(key).cast("long").alias("id"))
+    n = F.coalesce("n", F.when(F.col("id").isNull(), 1), F.lit(0))
+    return rows.join(times, F.col("id") == F.col("of"), "left").select(
+        "row", F.explode(F.array_repeat(F.lit(1), n))).select("row.*")
