@@ -81,6 +81,8 @@ def compile_model(counts: dict[str, tuple[np.ndarray, np.ndarray]], *, least: in
     ``most_nodes`` contexts together, the rarest longest ones go.
     """
     languages = sorted(counts)
+    if not languages:
+        return Model([], np.zeros(256, np.int64), np.zeros(1 << _SHIFT * ORDER, np.int32), np.zeros((0, 0)))
     total = np.zeros(256, dtype=np.int64)
     for gram, n in counts.values():
         np.add.at(total, gram & 0xFF, n)
