@@ -13,7 +13,8 @@ smaller id, or before it in the same one. Sorting every suffix of a corpus is no
 3. The marked ranges meet the documents again and are cut out.
 
 Copies of an anchor within a batch are settled there, so a line that most documents share does not
-fill one task; grams with very many regions are settled by a hash aggregate of their strings.
+fill one task; a gram with very many regions is parted by the bytes beside it before its regions are
+sorted.
 Hashes have 64 bits; two different regions of one gram would have to collide to go wrong.
 """
 
@@ -32,14 +33,13 @@ from spindrift.llm.words import byte_hasher, minimisers, mix, ragged
 LENGTH = 100
 ANCHOR = 32
 _LAST = (1 << 63) - 1
-_HOT_ROWS = 2000
 _ANCHORS = pa.schema([("gram", pa.int64()), ("region", pa.int64()), ("doc", pa.int64()),
                       ("at", pa.int64()), ("settled", pa.bool_())])
 _REGIONS = pa.schema([("gram", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()),
                       ("lead", pa.int32()), ("bytes", pa.binary())])
 _RANGES = pa.schema([("doc", pa.int64()), ("version", pa.int32()), ("first", pa.int64()),
-                     ("last", pa.int64()), ("text", pa.int64())])
-_RANGES_SQL = "doc long, version int, first long, last long, text long"
+                     ("last", pa.int64())])
+_RANGES_SQL = "doc long, version int, first long, last long"
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                      ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
 
@@ -179,7 +179,7 @@ def _merged(who: np.ndarray, start: np.ndarray, length: int):
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(who))[:len(first)] - 1
     return (who[first], (start[first] >> 32).astype(np.int32), start[first] & 0xFFFFFFFF,
-            (start[last] & 0xFFFFFFFF) + length, np.zeros(len(first), np.int64))
+            (start[last] & 0xFFFFFFFF) + length)
 
 
 def repeated_ranges(df: DataFrame, *, length: int = LENGTH, anchor: int = ANCHOR,
@@ -188,7 +188,7 @@ def repeated_ranges(df: DataFrame, *, length: int = LENGTH, anchor: int = ANCHOR
     """``(doc, version, first, last)``: byte ranges to remove, overlapping and beyond text ends."""
     if not 0 < anchor <= length:
         raise ValueError("the anchor must fit into the length")
-    margin = length - anchor
+    margin, most_rows = length - anchor, max(2, shard_bytes // (2 * length - anchor))
     docs = _keyed(df, doc_id, text)
     at: Column = F.col("at")
     version = F.shiftright(at, 32).cast("int").alias("version")
@@ -219,7 +219,7 @@ def repeated_ranges(df: DataFrame, *, length: int = LENGTH, anchor: int = ANCHOR
                     doc, packed, lead, region])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = max(2, shard_bytes // (length + margin))
+        rows = most_rows
         for table, bounds in whole_groups(batches, ["gram"], rows):
             doc, lead = table["doc"].to_numpy(), table["lead"].to_numpy()
             packed = table["at"].to_numpy() - lead
@@ -227,34 +227,46 @@ def repeated_ranges(df: DataFrame, *, length: int = LENGTH, anchor: int = ANCHOR
             shards: list[list[int]] = [[]]
             for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 if hi - lo > rows:
-                    for a in range(lo, hi, _HOT_ROWS):
-                        b = min(a + _HOT_ROWS, hi)
-                        yield from settle(region[a:b], doc[a:b], packed[a:b], hot=True)
+                    yield from settle_hot(list(range(lo, hi)), 0, 0, region, lead, doc, packed)
                     continue
                 if len(shards[-1]) + hi - lo > rows:
                     shards.append([])
                 shards[-1].extend(range(lo, hi))
             for shard in filter(None, shards):
-                pick = np.array(shard)
-                yield from settle([region[i] for i in shard], doc[pick], packed[pick], hot=False)
-
-    def settle(region: list[bytes], doc: np.ndarray, packed: np.ndarray, hot: bool):
-        """Ranges that repeat within the regions; of a part of a hot gram's regions, also every
-        other string with its hash, for an aggregate over all parts."""
-        of, offset = _repeats(region, doc, packed, length)
-        yield record_batch(_RANGES, _merged(doc[of], packed[of] + offset, length))
-        if not hot:
+                yield from settle([region[i] for i in shard], doc[shard], packed[shard])
+
+    def settle(pieces: list[bytes], doc: np.ndarray, packed: np.ndarray):
+        of, offset = _repeats(pieces, doc, packed, length)
+        if len(of):
+            yield record_batch(_RANGES, _merged(doc[of], packed[of] + offset, length))
+
+    def settle_hot(members: list[int], before: int, behind: int, region, lead, doc, packed):
+        """Strings of many regions that agree from ``before`` bytes before their gram to ``behind``
+        bytes behind it. Every string reaches further on one of the sides by at least half of the
+        bytes that are left, so the regions are parted by those bytes on either side, until a part
+        can be sorted or its strings are all one."""
+        rest = margin - before - behind
+        if not rest:
+            start = packed[members] + lead[members] - before
+            order = np.lexsort((start, doc[members]))
+            who, start = doc[members][order], start[order]
+            later = (who != who[0]) | (start != start[0])
+            yield record_batch(_RANGES, _merged(who[later], start[later], length))
             return
-        sizes = np.fromiter(map(len, region), np.int64, len(region))
-        begins, count = np.cumsum(sizes) - sizes, sizes - length + 1
-        first = np.ones(int(count.sum()), dtype=bool)
-        first[(np.cumsum(count) - count)[of] + offset] = False
-        starts = ragged(begins, count)[first]
-        owner = np.repeat(np.arange(len(region)), count)[first]
-        hashed = byte_hasher(np.frombuffer(b"".join(region), np.uint8)).runs(starts, starts + length)
-        place = packed[owner] + (starts - begins[owner])
-        yield record_batch(_RANGES, [doc[owner], (place >> 32).astype(np.int32),
-                                     place & 0xFFFFFFFF, np.full(len(owner), -1), hashed.view(np.int64)])
+        for low, high in ((before, behind + (rest + 1) // 2), (before + rest // 2 + 1, behind)):
+            parts: dict[bytes, list[int]] = {}
+            for i in members:
+                at = int(lead[i])
+                if at >= low and at + anchor + high <= len(region[i]):
+                    parts.setdefault(region[i][at - low:at + anchor + high], []).append(i)
+            reach = margin - high
+            for part in parts.values():
+                if len(part) > most_rows:
+                    yield from settle_hot(part, low, high, region, lead, doc, packed)
+                elif len(part) > 1:
+                    skip = np.maximum(lead[part] - reach, 0)
+                    pieces = [region[i][k:int(lead[i]) + length - low] for i, k in zip(part, skip.tolist())]
+                    yield from settle(pieces, doc[part], packed[part] + skip)
 
     found = docs.select("doc", "version", "t").mapInArrow(
         find, "gram long, region long, doc long, at long, settled boolean")
@@ -272,16 +284,9 @@ def repeated_ranges(df: DataFrame, *, length: int = LENGTH, anchor: int = ANCHOR
         fetch, "gram long, doc long, at long, lead int, bytes binary")
     sorted_ranges = written(
         regions.repartition("gram").sortWithinPartitions("gram").mapInArrow(sort, _RANGES_SQL), "ranges")
-    hot = sorted_ranges.where("last < 0")
-    firsts = hot.groupBy(F.col("text").alias("of")).agg(
-        F.min(F.struct("doc", "version", "first")).alias("lead"))
-    of_hot = hot.join(firsts, F.col("text") == F.col("of")).where(
-        F.struct("doc", "version", "first") != F.col("lead")).select(
-        "doc", "version", "first", (F.col("first") + length).alias("last"))
     whole = marks.where("settled").select(
         "doc", version, F.greatest(place - margin, F.lit(0)).alias("first"), (place + length).alias("last"))
-    return whole.unionByName(of_hot).unionByName(
-        sorted_ranges.where("last >= 0").select("doc", "version", "first", "last"))
+    return whole.unionByName(sorted_ranges)
 
 
 def _cut(body: bytes, ranges: list) -> tuple[bytes, int, int]:
