@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from math import pi, sqrt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spindrift.functions.dates import wall_micros
 from spindrift.functions.numbers import EARTH_RADIUS_MILES, great_circle_miles
@@ -154,54 +154,19 @@ def nearest_sites(
 ) -> DataFrame:
     """Nearest site(s) of every point by great-circle miles rounded to ``digits``, ties kept.
 
-    ``*_at`` name (latitude, longitude) columns in radians. The globe is cut into cells, sized so
-    that a cell holds about one site. For a cell with centre ``c`` and radius ``r`` only sites
-    within ``nearest(c) + 2r`` can be the nearest one of a point inside, by the triangle
-    inequality. These short lists are found from the occupied cells alone, through areas of
-    about sqrt(n) sites, and points then meet only the list of their own cell. Up to 100,000 list
-    entries are broadcast, so that points need no shuffle.
+    ``*_at`` name (latitude, longitude) columns in radians; a row without a position on the globe
+    takes no part. Points meet the short list of their own cell, from :func:`site_candidates`, and
+    the found positions bring back all ids that share them. Up to 100,000 list entries are
+    broadcast, so that points need no shuffle.
     """
-    measured = sites.agg(
-        F.count(F.lit(1)), *[f(F.degrees(c)) for c in site_at for f in (F.min, F.max)]
-    ).first()
-    degrees = _cell_degrees(*measured)
-    near = 2 * degrees / sqrt(2) * MILES_PER_DEGREE + 10.0**-digits + 1e-3
-    lat, lon = (F.col(c) for c in site_at)
-    here = tuple(F.col(c) for c in point_at)
-
-    wide = degrees * max(measured[0], 1) ** 0.25  # an area holds about sqrt(n) of n sites
-    placed = sites.select(
-        lat.alias("lat"), lon.alias("lon"), F.col(site_id).alias("id"),
-        _cell((lat, lon), wide).alias("_area"),
-    ).na.drop(subset=["lat", "lon"])
-    middle = _centre("_area", wide)
-    areas = placed.groupBy("_area").agg(
-        F.max(great_circle_miles(F.col("lat"), F.col("lon"), *middle)).alias("_reach")
-    )
-    index = areas.agg(F.collect_list(F.struct("_area", "_reach")))
-
-    cells = points.select(_cell(here, degrees).alias("_cell")).na.drop().distinct()
-    listed = cells.withColumn("_index", index.scalar()).select("_cell", F.explode("_index").alias("_i"))
-    listed = listed.select("_cell", "_i._area", "_i._reach").withColumn(
-        "_d", great_circle_miles(*_centre("_cell", degrees), *middle)
-    )
-    bound = listed.groupBy("_cell").agg(F.min(F.col("_d") + F.col("_reach")).alias("_bound"))
-    asked = listed.join(bound, "_cell").where(
-        F.col("_d") - F.col("_reach") <= F.col("_bound") + near
-    )
-    asked = broadcast_if_small(asked.select("_cell", "_area"), 100_000)
-    met = placed.join(asked, "_area").withColumn(
-        "_d", great_circle_miles(*_centre("_cell", degrees), F.col("lat"), F.col("lon"))
-    )
-    least = met.groupBy("_cell").agg(F.min("_d").alias("_least"))
-    chosen = met.join(least, "_cell").where(F.col("_d") <= F.col("_least") + near)
-    chosen = chosen.select("_cell", "lat", "lon", "id")
+    chosen, level = site_candidates(points, sites, point_at, site_at, digits=digits)
     copy = small_copy(chosen, 100_000)
     lists = (chosen if copy is None else copy).groupBy("_cell").agg(
-        F.collect_list(F.struct("lat", "lon", "id")).alias("_sites")
+        F.collect_list(F.struct("lat", "lon")).alias("_sites")
     )
     lists = lists if copy is None else F.broadcast(lists)
 
+    here = tuple(F.col(c) for c in point_at)
     seen = F.transform(
         "_sites",
         lambda s: F.struct(
@@ -210,36 +175,138 @@ def nearest_sites(
     )
     nearest = F.array_min(F.transform("_seen", lambda s: s["miles"]))
     # outer explode and null-safe equality keep Spark from adding filters that measure again
-    return (
-        points.withColumn("_cell", _cell(here, degrees))
+    found = (
+        points.withColumn("_cell", _cell(here, level))
         .join(lists, "_cell")
         .withColumn("_seen", seen)
         .withColumn("_nearest", nearest)
         .select(*points.columns, "_nearest", F.explode_outer("_seen").alias("_s"))
         .where(F.col("_s.miles").eqNullSafe(F.col("_nearest")))
-        .select(
-            *points.columns, F.col("_s.site.id").alias(site_id), F.col("_s.site.lat").alias(site_at[0]),
-            F.col("_s.site.lon").alias(site_at[1]), F.col("_s.miles").alias(name),
-        )
+        .select(*points.columns, F.col("_s.site.lat").alias("_lat"), F.col("_s.site.lon").alias("_lon"),
+                F.col("_s.miles").alias("_miles"))
+    )
+    ids = broadcast_if_small(sites.select(
+        F.col(site_id).alias("_id"), *[F.col(c).alias(n) for c, n in zip(site_at, ("_lat", "_lon"))]
+    ).na.drop(subset=["_lat", "_lon"]), 100_000)
+    return found.join(ids, ["_lat", "_lon"]).select(
+        *points.columns, F.col("_id").alias(site_id), F.col("_lat").alias(site_at[0]),
+        F.col("_lon").alias(site_at[1]), F.col("_miles").alias(name),
     )
 
 
-def _cell_degrees(n: int, south: float, north: float, west: float, east: float) -> float:
-    """Side of a square that holds one of ``n`` sites on average, within 0.25 to 10 degrees."""
-    if not n:
-        return 10.0
-    area = max(north - south, 0.25) * max(east - west, 0.25)
-    return min(max(sqrt(area / n), 0.25), 10.0)
+def site_candidates(
+    points: DataFrame,
+    sites: DataFrame,
+    point_at: tuple[str, str],
+    site_at: tuple[str, str],
+    *,
+    digits: int = 2,
+    crowd: int = 8,
+) -> tuple[DataFrame, int]:
+    """``(_cell, lat, lon)``: the site positions that can be nearest to a point of a cell, and the
+    level of these cells.
+
+    The globe is a quadtree of cells. Its depth is where no cell holds over ``crowd`` distinct
+    positions, however closely the sites are clustered. From a few cells around all sites down,
+    occupied cells of points and of sites are both split; a site cell stays beside a point cell
+    while its centre is within the nearest site cell's distance and four half diagonals, by the
+    triangle inequality. What stays is a ring of a few cells' width at the distance of the nearest
+    site: among the sites a list does not grow with them, and far outside a cluster it holds a strip
+    along its near edge, about the square root of its sites. A step pairs only the children of what
+    stayed. Cells get no smaller than the rounding of distances can tell apart.
+    """
+    lat, lon = (F.col(c) for c in site_at)
+    finest = _cell((lat, lon), _FINEST)
+    placed = sites.select(lat.alias("lat"), lon.alias("lon"), finest.alias("_fine")).where(
+        F.col("_fine").isNotNull()).distinct()
+    top, depth, roots = _levels(placed, crowd)
+    cells = points.select(_cell(tuple(F.col(c) for c in point_at), depth).alias("_cell")).where(
+        F.col("_cell").isNotNull()).distinct()
+    slack = 10.0**-digits + 2e-3
+
+    asked = cells.select(_above("_cell", depth - top).alias("_cell")).distinct().select(
+        "_cell", F.explode(F.array(*[F.lit(r) for r in roots])).alias("_node"))
+    for level in range(top + _STEP, depth + 1, _STEP):
+        below = cells.select(_above("_cell", depth - level).alias("_next")).distinct()
+        parts = placed.select(_above("_fine", _FINEST - level).alias("_part")).distinct()
+        paired = asked.join(
+            parts.withColumn("_node", _above("_part", _STEP)), "_node"
+        ).join(below.withColumn("_cell", _above("_next", _STEP)), "_cell").select(
+            F.col("_next").alias("_cell"), F.col("_part").alias("_node"))
+        apart = great_circle_miles(*_centre("_cell", level), *_centre("_node", level))
+        asked = _near(paired, apart, 4 * _half_diagonal(level) + slack).select("_cell", "_node")
+    met = asked.join(placed.withColumn("_node", _above("_fine", _FINEST - depth)), "_node")
+    apart = great_circle_miles(*_centre("_cell", depth), F.col("lat"), F.col("lon"))
+    return _near(met, apart, 2 * _half_diagonal(depth) + slack).select("_cell", "lat", "lon"), depth
+
+
+#: Level 0 is one cell of 360 degrees; cells of level 22 are about 30 feet wide.
+_FINEST = 22
+#: Levels a search descends at once.
+_STEP = 2
+
+
+def _levels(placed: DataFrame, crowd: int) -> tuple[int, int, list[int]]:
+    """Where a search starts and ends, and the (at most 16) cells around all sites at its start."""
+    levels = list(range(0, _FINEST + 1, _STEP))
+    every = placed.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("level"), _above("_fine", _FINEST - i).alias("cell")) for i in levels
+    ])).alias("at")).groupBy("at").agg(F.count(F.lit(1)).alias("n"))
+    row, column = _row("at.cell"), _column("at.cell")
+    measured = {r["level"]: r for r in every.groupBy("at.level").agg(
+        F.max("n").alias("most"), F.min(row).alias("south"), F.max(row).alias("north"),
+        F.min(column).alias("west"), F.max(column).alias("east")).collect()}
+    top, depth, roots = 0, 0, [0]
+    for level, r in sorted(measured.items()):
+        around = (r["north"] - r["south"] + 1) * (r["east"] - r["west"] + 1)
+        if around <= 16:
+            top = level
+            roots = [(a << 32) + b for a in range(r["south"], r["north"] + 1)
+                     for b in range(r["west"], r["east"] + 1)]
+        depth = level
+        if r["most"] <= crowd:
+            break
+    return top, depth, roots
+
+
+def _near(pairs: DataFrame, apart: Column, reach: float) -> DataFrame:
+    """Pairs of a cell that are at most ``reach`` farther apart than its closest pair.
+
+    The window holds one cell's few candidates.
+    """
+    measured = pairs.withColumn("_d", apart)
+    least = F.min("_d").over(Window.partitionBy("_cell"))
+    return measured.withColumn("_least", least).where(F.col("_d") <= F.col("_least") + reach)
+
+
+def _half_diagonal(level: int) -> float:
+    """Miles that no place of a cell is farther than from its centre."""
+    return 360 / 2**level / sqrt(2) * MILES_PER_DEGREE
+
+
+def _cell(at: tuple[Column, Column], level: int) -> Column:
+    """Cell of a position as one number, NULL for a position that is not known or not on the globe."""
+    side = F.lit(360 / 2**level)
+    lat, lon = at
+    row = F.floor((F.degrees(lat) + 90) / side)
+    column = F.floor(F.pmod(F.degrees(lon) + 180, F.lit(360.0)) / side)
+    return F.when((F.abs(lat) <= 4) & (F.abs(lon) <= 8), F.shiftleft(row, 32) + column)
+
+
+def _row(cell: str) -> Column:
+    return F.shiftright(F.col(cell), 32)
+
+
+def _column(cell: str) -> Column:
+    return F.col(cell).bitwiseAND(F.lit((1 << 32) - 1))
 
 
-def _cell(at: tuple[Column, Column], degrees: float) -> Column:
-    """Grid cell of a position as one number, NULL for a position that is not known."""
-    row, column = (F.floor(F.degrees(c) / F.lit(degrees)) for c in at)
-    return row * 10_000 + column
+def _above(cell: str, levels: int) -> Column:
+    """The cell that holds this one so many levels up."""
+    return F.shiftleft(F.shiftright(_row(cell), levels), 32) + F.shiftright(_column(cell), levels)
 
 
-def _centre(cell: str, degrees: float) -> tuple[Column, Column]:
-    """Centre of a grid cell in radians."""
-    row = F.floor((F.col(cell) + 5_000) / 10_000)
-    column = F.col(cell) - row * 10_000
-    return tuple(F.radians((c + 0.5) * F.lit(degrees)) for c in (row, column))
+def _centre(cell: str, level: int) -> tuple[Column, Column]:
+    """Centre of a cell in radians."""
+    side = F.lit(360 / 2**level)
+    return F.radians((_row(cell) + 0.5) * side - 90), F.radians((_column(cell) + 0.5) * side - 180)

@@ -59,6 +59,38 @@ def test_range_left(spark, open_ended, width):
     assert {r["id"] for r in df.collect()} == set(range(30))
 
 
+@pytest.mark.parametrize("inside", [True, False])
+def test_candidates_do_not_grow_with_clustered_sites(spark, inside):
+    rng = random.Random(5)
+
+    def spot(south, north, west, east):
+        return math.radians(rng.uniform(south, north)), math.radians(rng.uniform(west, east))
+
+    far = [(math.radians(-40), math.radians(170)), (math.radians(70), math.radians(-100))]
+    around = (51.3, 51.6, -0.4, 0.2) if inside else (45.0, 58.0, -9.0, 12.0)
+    points = spark.createDataFrame([spot(*around) for _ in range(200)], "a double, b double")
+    listed = {}
+    for n in (500, 2000, 8000):
+        spots = [spot(51.3, 51.6, -0.4, 0.2) for _ in range(n)] + far
+        sites = spark.createDataFrame(spots, "c double, d double")
+        chosen, _ = joins.site_candidates(points, sites, ("a", "b"), ("c", "d"))
+        counts = [r["count"] for r in chosen.groupBy("_cell").count().collect()]
+        assert len(counts) <= 200
+        listed[n] = sum(counts)
+        # outside a cluster, a strip along its near edge stays, about the square root of the sites
+        assert max(counts) <= (40 if inside else 4 * math.sqrt(n))
+    assert listed[8000] <= 2 * listed[500]
+
+
+def test_nearest_sites_without_places(spark):
+    sites = spark.createDataFrame([("s", None, 1.0), ("t", float("nan"), 1.0)], "s string, c double, d double")
+    points = spark.createDataFrame([(1, 0.5, 0.5), (2, None, 0.1), (3, float("inf"), 0.1)], "p int, a double, b double")
+    near = lambda of: joins.nearest_sites(points, of, ("a", "b"), "s", ("c", "d"), "m").collect()
+    assert near(sites) == [] and near(sites.limit(0)) == []
+    one = sites.union(spark.createDataFrame([("u", 0.5, 0.5), ("v", 0.5, 0.5)], sites.schema))
+    assert sorted((r["p"], r["s"], r["m"]) for r in near(one)) == [(1, "u", 0.0), (1, "v", 0.0)]
+
+
 def miles(a, b):
     cosine = math.sin(a[0]) * math.sin(b[0]) + math.cos(a[0]) * math.cos(b[0]) * math.cos(a[1] - b[1])
     return round(3963 * math.acos(max(-1.0, min(1.0, cosine))), 2)
