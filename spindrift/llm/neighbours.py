@@ -25,10 +25,13 @@ NEAREST = 20
 CURVES = 16
 SHARE = 0.1
 BLOCK = 2048
+#: Blocks of a curve that one group of a task passes through, merging what queries find in them.
+RUN = 16
 LEAST_WINDOW = 256
 _DIRECTIONS = 8
 _BITS = 7
 _SEED = 11
+_HELD_PAIRS = 1_000_000
 _PAIRS = pa.schema([("q", pa.int64()), ("c", pa.int64()), ("score", pa.float64())])
 
 
@@ -87,6 +90,17 @@ def _best(scores: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.n
     return np.nonzero(keep & np.isfinite(scores))
 
 
+def _merged(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, ...]:
+    """The ``n`` best pairs of every query among ``(q, c, score)``, ties to the smaller ``c``."""
+    q, c, score = (np.concatenate(part) for part in zip(*found))
+    order = np.lexsort((c, -score, q))
+    q, c, score = q[order], c[order], score[order]
+    first = np.append(True, q[1:] != q[:-1])
+    start = np.flatnonzero(first)[np.cumsum(first) - 1]
+    keep = np.arange(len(q)) - start < n
+    return q[keep], c[keep], score[keep]
+
+
 def nearest(df: DataFrame, is_query: Column, *, n: int = NEAREST, curves: int = CURVES,
             share: float = SHARE, block: int = BLOCK, least_window: int = LEAST_WINDOW,
             vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -133,8 +147,11 @@ def nearest(df: DataFrame, is_query: Column, *, n: int = NEAREST, curves: int =
                      batch["c"], batch["ask"], batch["v"]], ["curve", "key", "c", "ask", "v"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of a block come before the queries whose windows reach into it."""
-        at, held = None, None
+        """Rows of a block come before the queries whose windows reach into it.
+
+        What a query finds in a run of blocks is merged before it is shuffled.
+        """
+        at, held, run, found, waiting = None, None, None, [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -143,6 +160,10 @@ def nearest(df: DataFrame, is_query: Column, *, n: int = NEAREST, curves: int =
                                    | (asking[1:] != asking[:-1])) + 1
             x, c, place = _vectors(batch["v"], dims), batch["c"].to_numpy(), batch["place"].to_numpy()
             for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+                if run != (curve[lo], part[lo] // RUN):
+                    if waiting:
+                        yield record_batch(_PAIRS, _merged(found, n + 1))
+                    run, found, waiting = (curve[lo], part[lo] // RUN), [], 0
                 if not asking[lo]:
                     if at != (curve[lo], part[lo]):
                         at, held = (curve[lo], part[lo]), (x[lo:hi], c[lo:hi], place[lo:hi])
@@ -156,7 +177,16 @@ def nearest(df: DataFrame, is_query: Column, *, n: int = NEAREST, curves: int =
                     q, r = _best(scores, held[1], n + 1)
                     exact = np.concatenate([(x[a + q[k:k + 65536]] * held[0][r[k:k + 65536]]).sum(axis=1)
                                             for k in range(0, len(q), 65536)] or [np.zeros(0)])
-                    yield record_batch(_PAIRS, [c[a + q], held[1][r], exact])
+                    found.append((c[a + q], held[1][r], exact))
+                    waiting += len(q)
+                    if waiting > _HELD_PAIRS:
+                        found = [_merged(found, n + 1)]
+                        waiting = len(found[0][0])
+                        if waiting > _HELD_PAIRS // 2:
+                            yield record_batch(_PAIRS, found[0])
+                            found, waiting = [], 0
+        if waiting:
+            yield record_batch(_PAIRS, _merged(found, n + 1))
 
     laid = points.mapInArrow(lay, f"curve int, key long, c long, ask boolean, v {kinds['v']}")
     order = laid.repartitionByRange("curve", "key", "c").sortWithinPartitions("curve", "key", "c")
@@ -175,7 +205,8 @@ def nearest(df: DataFrame, is_query: Column, *, n: int = NEAREST, curves: int =
         F.array().cast("array<struct<block:bigint,asking:boolean>>")))
     spreadout = ranked.select("curve", "c", "place", "v", F.explode(visits).alias("to")).select(
         "curve", "to.block", "to.asking", "c", "place", "v")
-    pairs = spreadout.repartition("curve", "block").sortWithinPartitions("curve", "block", "asking").mapInArrow(
+    passing = F.floor(F.col("block") / RUN)
+    pairs = spreadout.repartition("curve", passing).sortWithinPartitions("curve", "block", "asking").mapInArrow(
         meet, "q long, c long, score double")
 
     by_score = lambda key, last: Window.partitionBy(key).orderBy(F.desc("score"), last)
