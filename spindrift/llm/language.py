@@ -21,9 +21,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from spindrift.llm.shared import bounded, record_batch, texts_as_bytes
+from spindrift.llm.shared import bounded, first_by_hash, record_batch, texts_as_bytes
 
 ORDER = 3
 SYMBOLS = 128
@@ -147,9 +147,7 @@ def learn(df: DataFrame, *, documents: int = 1000, doc_id: str = "doc_id", text:
     """Model of rows with a text and a language, from at most ``documents`` of each language."""
     rows = df.select(F.col(doc_id).alias("d"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("t")
                      ).where("lang is not null and t is not null and d is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("d"), "d")
-    chosen = rows.select("d", "lang").withColumn("place", F.row_number().over(order)).where(
-        F.col("place") <= documents).select("d", "lang")
+    chosen = first_by_hash(rows.select("d", "lang"), "lang", "d", documents)
     # at most ``documents`` ids a language
     found = gram_counts(rows.join(F.broadcast(chosen), ["d", "lang"], "left_semi").select("lang", "t")).toPandas()
     counts = {name: (part["gram"].to_numpy(), part["n"].to_numpy())

@@ -16,10 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from spindrift.llm.language import held_out
-from spindrift.llm.shared import bounded, record_batch, texts_as_bytes
+from spindrift.llm.shared import bounded, first_by_hash, record_batch, texts_as_bytes
 from spindrift.llm.words import Words
 
 PASSAGE = 1024
@@ -168,9 +168,7 @@ def learn(df: DataFrame, labels: DataFrame, *, documents: int = 1000, passages:
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(
         F.col(doc_id).cast("long").alias("id")).agg(F.min(label).cast("int").alias("y"))
-    order = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id")
-    chosen = known.withColumn("place", F.row_number().over(order)).where(
-        F.col("place") <= documents).select("id", "y")
+    chosen = first_by_hash(known, "y", "id", documents).select("id", "y")
     rows = df.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")).where(
         "t is not null").join(F.broadcast(chosen), "id")  # at most ``documents`` ids a label
 

@@ -9,7 +9,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 _own: dict[str, str] = {}
@@ -36,6 +36,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def first_by_hash(df: DataFrame, group: str, key: str, n: int, salts: int = 64) -> DataFrame:
+    """At most ``n`` rows of every group, those whose ``key`` has the least hashes.
+
+    Each salted part of a group is limited first, so that a group which holds most rows meets in
+    one task as at most ``salts * n`` rows.
+    """
+    order = (F.xxhash64(key), F.col(key))
+    for keys in ((group, "_salt"), (group,)):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        df = df.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts))).withColumn("_place", place).where(
+            F.col("_place") <= n).drop("_place", "_salt")
+    return df
+
+
 def bounded(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose ``column`` holds about ``max_bytes``; a longer text stands alone."""
     for batch in batches:
