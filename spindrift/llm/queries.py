@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spindrift.llm import fertility, language, mixing, neighbours, packing, passages, quality, simhash, suffix_dedup, warc
+from spindrift.llm import (
+    divergence, fertility, language, main_text, mixing, neighbours, packing, passages, prefix_tree, quality, simhash,
+    suffix_dedup, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {
@@ -19,6 +22,44 @@ SQL: dict[str, str] = {
                CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
         FROM f""",
+    "op12_divergence": r"""
+        WITH d AS (
+            SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS row,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents),
+        w AS (
+            SELECT lang, source, row, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM d),
+        c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT row) AS docs FROM w GROUP BY ALL),
+        v AS (SELECT lang, term, sum(n) AS lang_n FROM c GROUP BY ALL HAVING sum(docs) >= 10),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        counted AS (
+            SELECT lang, source, term, coalesce(n, 0) AS n, lang_n
+            FROM g JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+        sized AS (
+            SELECT *, sum(n) OVER own AS total, sum(lang_n) OVER own AS lang_total, count(*) OVER own AS terms
+            FROM counted WINDOW own AS (PARTITION BY lang, source)),
+        p AS (
+            SELECT lang, source, term, n,
+                   1 + CAST(1000000000 * CAST(n + 2 AS HUGEINT) // (total + 2 * terms) AS BIGINT) AS p,
+                   1 + CAST(1000000000 * CAST(lang_n + 2 AS HUGEINT) // (lang_total + 2 * terms) AS BIGINT) AS q
+            FROM sized),
+        sums AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+            FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+        terms AS (
+            SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+            FROM p WHERE n > 0 AND p > q),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+            FROM (FROM pairs UNION ALL FROM terms))
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+        FROM ranked WHERE part = 'pair' OR rank <= 10""",
+    "op13_prefix_trie": prefix_tree.SQL,
 }
 
 
@@ -81,3 +122,18 @@ def op9_fertility_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
     return quality.score(documents, quality.learn(documents, labels.where(~language.held_out("doc_id"))))
+
+
+@_query
+def op11_line_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.extract(_table(spark, folder, "pages"))
+
+
+@_query
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(_table(spark, folder, "documents"))
+
+
+@_query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_tree.rollup(_table(spark, folder, "conversations"))
