@@ -154,7 +154,7 @@ def judge(df: DataFrame, vocabulary: str, *, bands: Mapping[str, Band] = BANDS,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = SentencePieces(vocabulary)
-        for batch in bounded(batches, "t", 4 << 20):
+        for batch in bounded(batches, "t", 1 << 20):
             found = measure_texts(texts_as_bytes(batch["t"]), encoder, bands)
             yield record_batch(_ARROW, [batch["d"], *found.values()])
 

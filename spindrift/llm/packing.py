@@ -126,7 +126,7 @@ def pack(df: DataFrame, vocabulary: str, *, capacity: int = CAPACITY, end_id: in
             sequence += 1
 
         packer = LevelPacker(capacity, close)
-        for batch in bounded(batches, "t", 4 << 20):
+        for batch in bounded(batches, "t", 1 << 20):
             encoded = tokenizer.encode_all(texts_as_bytes(batch["t"]))
             for owner, ids in zip(batch["d"].to_pylist(), encoded):
                 ids = np.append(ids, np.uint32(end_id))

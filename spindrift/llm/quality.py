@@ -173,7 +173,7 @@ def learn(df: DataFrame, labels: DataFrame, *, documents: int = 1000, passages:
         "t is not null").join(F.broadcast(chosen), "id")  # at most ``documents`` ids a label
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches, "t", 2 << 20):
+        for batch in bounded(batches, "t", 1 << 20):
             x, counts = features(texts_as_bytes(batch["t"]))
             kept, at = [], 0
             for n in counts.tolist():
@@ -226,7 +226,7 @@ def _with_score(df: DataFrame, net: Network | None, kept: list[str], text: str)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = frozen.value and Network(**frozen.value)
-        for batch in bounded(batches, text, 2 << 20):
+        for batch in bounded(batches, text, 1 << 20):
             texts = texts_as_bytes(batch[text])
             found = score_texts(texts, net) if net else np.full(len(texts), 0.5)
             yield pa.RecordBatch.from_arrays(

@@ -65,7 +65,7 @@ def fingerprints(df: DataFrame, *, shingle: int = SHINGLE, doc_id: str = "doc_id
     """``(doc_id, fp)`` of every row; the 64 bits are a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches, "t", 4 << 20):
+        for batch in bounded(batches, "t", 1 << 20):
             found = [majority(text_hashes(t, shingle)) for t in texts_as_bytes(batch["t"])]
             yield record_batch(_FINGERPRINTS, [batch["d"], np.array(found, np.uint64).view(np.int64)])
 

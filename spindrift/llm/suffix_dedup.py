@@ -320,7 +320,7 @@ def remove_repeats(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     of the text; an empty table gives no rows; other columns are ignored.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches, "t", 8 << 20):
+        for batch in bounded(batches, "t", 1 << 20):
             bodies = texts_as_bytes(batch["t"])
             ranges = batch["ranges"].to_pylist()
             done = [_cut(b, [(x["first"], x["last"]) for x in r or ()]) for b, r in zip(bodies, ranges)]
@@ -361,7 +361,7 @@ def without_repeats(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     others = [c for c in df.columns if c != text]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches, "t", 8 << 20):
+        for batch in bounded(batches, "t", 1 << 20):
             new = []
             for body, ranges in zip(batch["t"].cast(pa.binary()).to_pylist(), batch["ranges"].to_pylist()):
                 if body is not None and ranges:

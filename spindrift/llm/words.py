@@ -14,15 +14,18 @@ _VALUES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uin
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _powers: dict[int, np.ndarray] = {}
+_MOST_POWERS = 3 << 19
 
 
 def powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers; a worker keeps at most ``_MOST_POWERS`` of a base between batches."""
     have = _powers.get(base)
     if have is None or len(have) < n:
         have = np.full(max(n, 1 << 16), base, dtype=np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
-        _powers[base] = have
+        if n <= _MOST_POWERS:
+            _powers[base] = have
     return have[:n]
 
 
