@@ -19,6 +19,7 @@ agree.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -182,18 +183,28 @@ def mix(df: DataFrame, *, weights: Sequence[float] = WEIGHTS, cap: int = CAP, st
         (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
-def mixed(df: DataFrame, **parameters) -> DataFrame:
+def mixed(df: DataFrame, *, rows_per_slice: int = 200_000, **parameters) -> DataFrame:
     """The rows of ``df``, each as often as the mix takes it.
 
-    Copies come by id: rows that share an id get the copies of all of them, each row once for
-    every copy of its own rank, so repeated rows are taken as often in total as :func:`mix` says.
-    Rows without an id are taken once.
+    Copies come by id: the rows that share an id share the copies of all of them, the first ones in
+    the order of a hash taking one more where they do not divide, so an id is taken as often in total
+    as :func:`mix` says. Rows without an id are taken once.
     """
     key = parameters.get("doc_id", "doc_id")
-    taken = mix(df, **parameters).where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+    taken = mix(df, rows_per_slice=rows_per_slice, **parameters).where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    times = taken.select(F.col("doc_id").alias("of"), F.round(F.col("_copies") / F.col("_rows")).cast("int").alias("n"))
+    times = taken.select(F.col("doc_id").alias("of"), F.col("_copies").cast("int").alias("n"), F.col("_rows").alias("m"))
     rows = df.select(F.struct(*df.columns).alias("row"), F.col(key).cast("long").alias("id"))
-    n = F.coalesce("n", F.when(F.col("id").isNull(), 1), F.lit(0))
-    return rows.join(times, F.col("id") == F.col("of"), "left").select(
-        "row", F.explode(F.array_repeat(F.lit(1), n))).select("row.*")
+    joined = rows.join(times, F.col("id") == F.col("of"), "left")
+    shared = joined.where(F.col("m") > 1)
+    single = joined.where(F.coalesce(F.col("m"), F.lit(1)) <= 1).select(
+        "row", F.coalesce("n", F.when(F.col("id").isNull(), 1), F.lit(0)).alias("n"))
+    counted = [single]
+    if not times.where(F.col("m") > 1).isEmpty():
+        place = F.xxhash64("row")
+        ranked = slices.running(shared.withColumn("_p", place), ["id"], [F.col("_p")], F.col("_p"),
+                                row_number="_place", rows_per_slice=rows_per_slice)
+        more = (F.col("_place") <= F.col("n") % F.col("m")).cast("int")
+        counted.append(ranked.select("row", (F.floor(F.col("n") / F.col("m")) + more).cast("int").alias("n")))
+    return reduce(DataFrame.unionByName, counted).select(
+        "row", F.explode(F.array_repeat(F.lit(1), F.col("n")))).select("row.*")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spindrift.llm import language, neighbours, quality, queries, warc
+from spindrift.llm import language, mixing, neighbours, quality, queries, warc
 from spindrift.llm.shared import fresh_path
 
 TABLES = "/root/testdata/sf0.001"
@@ -189,3 +189,16 @@ def test_pipeline_stages(spark):
     key = ["doc_id", "doc_tokens"]
     assert packed.where("start = 0").groupBy(*key).count().exceptAll(
         whole.where("start = 0").groupBy(*key).count()).count() == 0
+
+
+def test_mixed_takes_repeated_ids_as_often_as_the_mix_says(spark):
+    rows = [(i % 40, f"w{i} " * (1 + i % 7), "en", f"s{i % 3}", i) for i in range(150)] + [(3, "same", "en", "s0", 1)] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    copies = {r["doc_id"]: r["n"] for r in mixing.mix(df).groupBy("doc_id").agg(F.sum("copies").alias("n")).collect()}
+    for limit in (200_000, 4):
+        out = mixing.mixed(df, rows_per_slice=limit)
+        taken = {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()}
+        assert taken == {i: n for i, n in copies.items() if n}
+        most, held = Counter(map(tuple, out.collect())), Counter(rows)
+        for row, n in most.items():
+            assert n <= held[row] * -(-copies[row[0]] // sum(r[0] == row[0] for r in rows))
