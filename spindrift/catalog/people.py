@@ -151,4 +151,24 @@ def range_bins(t: Tables) -> DataFrame:
         (F.col("n_nationkey") * 20000 + 30000).alias("hi"),
     )
     facts = t.orders.select("o_orderkey", F.floor("o_totalprice").alias("price"))
-    return joins.range_left(facts, bands, "price", "lo", "hi", width=10000).drop("lo", "hi")
+    return joins.range_left(facts, bands, "price", "lo", "hi").drop("lo", "hi")
+
+
+@query(
+    "range_any_width",
+    """
+    WITH bands AS (
+      SELECT 's' || CAST(s_suppkey AS VARCHAR) AS band, CAST(floor(s_acctbal * 100) AS BIGINT) AS lo,
+        CAST(floor(s_acctbal * 100) AS BIGINT) + s_suppkey % 7 * 1000 AS hi FROM supplier
+      UNION ALL SELECT 'r' || CAST(r_regionkey AS VARCHAR), r_regionkey * -1000000000, r_regionkey * 1000000000 FROM region)
+    SELECT c_custkey, CAST(floor(c_acctbal * 100) AS BIGINT) AS cents, band
+    FROM customer LEFT JOIN bands ON CAST(floor(c_acctbal * 100) AS BIGINT) BETWEEN lo AND hi""",
+)
+def range_any_width(t: Tables) -> DataFrame:
+    start = F.floor(F.col("s_acctbal") * 100)
+    narrow = t.supplier.select(F.concat(F.lit("s"), "s_suppkey").alias("band"), start.alias("lo"),
+                               (start + F.col("s_suppkey") % 7 * 1000).alias("hi"))
+    far = F.col("r_regionkey").cast("bigint") * 1_000_000_000
+    wide = t.region.select(F.concat(F.lit("r"), "r_regionkey").alias("band"), (-far).alias("lo"), far.alias("hi"))
+    facts = t.customer.select("c_custkey", F.floor(F.col("c_acctbal") * 100).alias("cents"))
+    return joins.range_left(facts, narrow.unionByName(wide), "cents", "lo", "hi").drop("lo", "hi")

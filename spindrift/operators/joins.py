@@ -71,6 +71,10 @@ def _ticks(left: str, right: str) -> Callable[[Column], Column]:
     return numbers[max(left, right)] if "timestamp" not in (left, right) else numbers["timestamp"]
 
 
+#: Values and bounds of a range join lie between minus and plus this.
+_REACH = 1 << 62
+
+
 def range_left(
     facts: DataFrame,
     bands: DataFrame,
@@ -78,38 +82,60 @@ def range_left(
     low: str,
     high: str,
     *,
-    width: int = 1,
     open_ended: bool = False,
 ) -> DataFrame:
-    """Left join of facts to the bands whose closed ``[low, high]`` holds the integer value.
-
-    Each band is listed once per bin of ``width`` it touches, so facts find their bands by an
-    equi-join on the bin. A band with a NULL bound matches nothing unless ``open_ended``, when
-    the missing bound is taken from the range of the facts.
+    """Left join of facts to the bands whose closed ``[low, high]`` holds the whole-numbered value.
+
+    A band of any width is cut into its dyadic nodes, the at most 2 log2(width) blocks of numbers
+    that share all but their last bits. A number lies in one block of each size, so the distinct
+    values of the facts probe one node for each size that occurs, and what they find is joined back
+    to the facts by value: neither a band nor the facts are listed more than logarithmically often,
+    and only distinct values are. A band with a NULL bound matches nothing unless ``open_ended``,
+    when it has no end on that side. Bounds beyond 2^62 count as that; values beyond match nothing.
     """
-    lo, hi = F.col(low), F.col(high)
+    lo, hi = F.col(low).cast("bigint"), F.col(high).cast("bigint")
     if open_ended:
-        reach = facts.agg(F.min(value).alias("least"), F.max(value).alias("most"))
-        least, most = reach.select("least").scalar(), reach.select("most").scalar()
-        bounds = bands.withColumns(
-            {"_lo": F.coalesce(lo, F.least(hi, least)), "_hi": F.coalesce(hi, F.greatest(lo, most))}
-        )
-    else:
-        bounds = bands.withColumns({"_lo": lo, "_hi": hi})
-    first, last = F.floor(F.col("_lo") / width), F.floor(F.col("_hi") / width)
-    listed = broadcast_if_small(
-        bounds.where(F.col("_lo") <= F.col("_hi")).withColumn(
-            "_bin", F.explode(F.sequence(first, last))
-        )
-    )
-    probe = facts.withColumn("_bin", F.floor(F.col(value) / width))
-    probe = probe.withColumnRenamed(value, "_value")
-    inside = (probe["_bin"] == listed["_bin"]) & probe["_value"].between(
-        listed["_lo"], listed["_hi"]
-    )
-    names = [F.col("_value").alias(value) if c == value else F.col(c) for c in facts.columns]
+        lo, hi = F.coalesce(lo, F.lit(-_REACH)), F.coalesce(hi, F.lit(_REACH))
     extra = [c for c in bands.columns if c not in facts.columns]
-    return probe.join(listed, inside, "left").select(*names, *extra)
+    whole = bands.select(lo.alias("_lo"), hi.alias("_hi"), F.struct(
+        F.lit(0).alias("_"), *[F.col(quote(c)).alias(f"b{i}") for i, c in enumerate(extra)]).alias("_band"))
+    cut = _dyadic(F.greatest("_lo", F.lit(-_REACH)), F.least("_hi", F.lit(_REACH)))
+    nodes = whole.where(F.col("_lo") <= F.col("_hi")).select("_band", F.explode(cut).alias("_node"))
+    copy = small_copy(nodes)
+    nodes = nodes if copy is None else copy
+    levels = sorted(r[0] for r in nodes.select("_node.level").distinct().collect())
+
+    at = F.col(quote(value)).cast("bigint")
+    values = facts.select(at.alias("_value")).where(F.abs("_value") <= _REACH).distinct()
+    probes = values.select("_value", F.explode(F.array(*[_node(F.lit(k), F.col("_value")) for k in levels or [0]])).alias("_node"))
+    found = probes.join(nodes if copy is None else F.broadcast(nodes), "_node").select("_value", "_band")
+    salt = F.xxhash64(*[F.col(quote(f.name)) for f in facts.schema if "map<" not in f.dataType.simpleString()])
+    joined = sprayed_left(facts.withColumn("_value", at), broadcast_if_small(found), "_value", salt)
+    return joined.select(*[F.col(quote(c)) for c in facts.columns],
+                         *[F.col("_band")[f"b{i}"].alias(c) for i, c in enumerate(extra)])
+
+
+def _node(level: Column, value: Column) -> Column:
+    """The block of ``2 ** level`` numbers that holds a value."""
+    return F.struct(level.cast("int").alias("level"), F.call_function("shiftright", value, level.cast("int")).alias("at"))
+
+
+def _dyadic(low: Column, high: Column) -> Column:
+    """The fewest blocks that make up ``[low, high]``.
+
+    With ``a`` the first block that starts in the range and ``b`` the one that its end falls into, a
+    level gives ``a`` where it is the second half of a larger block, and the one before ``b`` where
+    that is a first half.
+    """
+    def blocks(level: Column) -> Column:
+        shift = lambda c: F.call_function("shiftright", c, level)
+        a, b = -shift(-low), shift(high + 1)
+        node = lambda c: F.struct(level.alias("level"), c.alias("at"))
+        inside, odd = a < b, lambda c: c.bitwiseAND(F.lit(1)) == 1
+        return F.array(F.when(inside & odd(a), node(a)), F.when(inside & odd(b), node(b - 1)))
+
+    levels = F.sequence(F.lit(0), F.lit(_REACH.bit_length()))
+    return F.filter(F.flatten(F.transform(levels, blocks)), lambda n: n.isNotNull())
 
 
 def sprayed_left(left: DataFrame, right: DataFrame, key: str, salt: Column, ways: int = 1024) -> DataFrame:

@@ -41,12 +41,11 @@ def test_asof_forward_by_time_of_day(spark, kind):
 
 
 @pytest.mark.parametrize("open_ended", [False, True])
-@pytest.mark.parametrize("width", [1, 7])
-def test_range_left(spark, open_ended, width):
+def test_range_left(spark, open_ended):
     facts = spark.createDataFrame([(i, None if i == 3 else i) for i in range(30)], "id int, v int")
     bands = [("low", None, 4), ("mid", 5, 9), ("also", 8, 12), ("high", 20, None), ("wrong", 9, 5)]
     frame = spark.createDataFrame(bands, "b string, lo int, hi int")
-    df = joins.range_left(facts, frame, "v", "lo", "hi", width=width, open_ended=open_ended)
+    df = joins.range_left(facts, frame, "v", "lo", "hi", open_ended=open_ended)
     got = sorted((r["id"], r["b"]) for r in df.collect() if r["b"])
     expected = []
     for i in range(30):
@@ -59,6 +58,42 @@ def test_range_left(spark, open_ended, width):
     assert {r["id"] for r in df.collect()} == set(range(30))
 
 
+def test_range_left_with_bands_of_any_width(spark):
+    rng = random.Random(11)
+    far = 10**9
+    bands = [(i, a := rng.randint(-far, far), a + rng.choice([0, 1, 6, 1000, far, 10**15])) for i in range(300)]
+    bands += [(900, -far, far), (901, -(2**62), 2**62), (902, 5, 4), (903, 0, 0), (904, None, 7), (905, -1, 0)]
+    values = [rng.randint(-far, far) for _ in range(200)] + [b for band in bands for b in band[1:] if b is not None]
+    values += [0, 0, -1, None, 2**62, -(2**62), 2**63 - 1]
+    facts = spark.createDataFrame(list(enumerate(values)), "id int, v bigint")
+    df = joins.range_left(facts, spark.createDataFrame(bands, "band int, lo bigint, hi bigint"), "v", "lo", "hi")
+    assert df.columns == ["id", "v", "band", "lo", "hi"]
+    got = sorted(((r["id"], r["band"]) for r in df.collect()), key=str)
+    expected = []
+    for i, v in enumerate(values):
+        held = [b for b, lo, hi in bands if v is not None and lo is not None and lo <= v <= hi]
+        expected += [(i, b) for b in held] or [(i, None)]
+    assert got == sorted(expected, key=str)
+
+
+def test_a_band_becomes_few_nodes(spark):
+    bands = [(0, 10**9), (-(10**9), 10**9), (1, 2**40 - 2), (-(2**62), 2**62), (7, 7), (-3, -3)]
+    df = spark.createDataFrame(bands, "lo bigint, hi bigint")
+    rows = df.select("lo", "hi", joins._dyadic(F.col("lo"), F.col("hi")).alias("nodes")).collect()
+    for r in rows:
+        spans = sorted((n["at"] << n["level"], (n["at"] + 1) << n["level"]) for n in r["nodes"])
+        assert spans[0][0] == r["lo"] and spans[-1][1] == r["hi"] + 1
+        assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+        assert len(spans) <= 2 * max(1, (r["hi"] - r["lo"] + 1).bit_length())
+
+
+def test_range_left_without_bands(spark):
+    facts = spark.createDataFrame([(1, 5), (1, 5), (2, None)], "id int, v int")
+    none = spark.createDataFrame([], "b string, lo int, hi int")
+    assert sorted(tuple(r) for r in joins.range_left(facts, none, "v", "lo", "hi").collect()) == sorted(
+        [(1, 5, None, None, None), (1, 5, None, None, None), (2, None, None, None, None)], key=str)
+
+
 @pytest.mark.parametrize("inside", [True, False])
 def test_candidates_do_not_grow_with_clustered_sites(spark, inside):
     rng = random.Random(5)
