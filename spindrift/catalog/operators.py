@@ -336,9 +336,8 @@ def _running(t: Tables, **options) -> DataFrame:
         "event_id", "ts", "value", (F.col("event_type") == "view").alias("side"), money("value").alias("amount"),
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("purchase"),
     )
-    time = dates.wall_micros(F.col("ts"))
     result = slices.running(
-        facts, ["side"], [F.col("ts"), F.col("event_id")], time, row_number="place",
+        facts, ["side"], [F.col("ts"), F.col("event_id")], row_number="place",
         sums={"total": "amount"}, lags={"previous": "value"}, fills={"last_purchase": "purchase"}, **options,
     )
     return doubles(result.select("event_id", "place", "total", "previous", "last_purchase"), "total")
@@ -362,9 +361,8 @@ _ROLLING = f"""
 
 def _rolling(t: Tables, **options) -> DataFrame:
     facts = t.events.select("event_id", "ts", "event_type", money("value").alias("amount"))
-    time = dates.wall_micros(F.col("ts"))
     result = slices.rolling_mean(
-        facts, ["event_type"], [F.col("ts"), F.col("event_id")], time, "amount", 7, "mean_7", 2, **options
+        facts, ["event_type"], [F.col("ts"), F.col("event_id")], "amount", 7, "mean_7", 2, **options
     )
     return result.select("event_id", "mean_7")
 

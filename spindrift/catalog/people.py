@@ -160,7 +160,8 @@ def range_bins(t: Tables) -> DataFrame:
     WITH bands AS (
       SELECT 's' || CAST(s_suppkey AS VARCHAR) AS band, CAST(floor(s_acctbal * 100) AS BIGINT) AS lo,
         CAST(floor(s_acctbal * 100) AS BIGINT) + s_suppkey % 7 * 1000 AS hi FROM supplier
-      UNION ALL SELECT 'r' || CAST(r_regionkey AS VARCHAR), r_regionkey * -1000000000, r_regionkey * 1000000000 FROM region)
+      UNION ALL SELECT 'r' || CAST(r_regionkey AS VARCHAR), CAST(r_regionkey AS BIGINT) * -1000000000,
+        CAST(r_regionkey AS BIGINT) * 1000000000 FROM region)
     SELECT c_custkey, CAST(floor(c_acctbal * 100) AS BIGINT) AS cents, band
     FROM customer LEFT JOIN bands ON CAST(floor(c_acctbal * 100) AS BIGINT) BETWEEN lo AND hi""",
 )

@@ -41,7 +41,7 @@ def asof_forward(
         F.col(right_time).alias("_found"),
     ).distinct()
     seen = slices.running(
-        facts.unionByName(marks), keys, [-F.col("_t"), F.col("_side")], -F.col("_t"),
+        facts.unionByName(marks), keys, [-F.col("_t"), F.col("_side")],
         fills={"_next": "_found"}, rows_per_slice=rows_per_slice,
     )
     group = F.struct(F.lit(0).alias("_"), *[F.col(k) for k in keys])

@@ -2,98 +2,73 @@
 
 A window function sorts a whole group in one task, which fails when one group holds a large
 share of a big table. The operators here measure which groups are hot, that is larger than
-``rows_per_slice``, and cut the order axis of those into slices at quantiles of the hot rows, so
-that one (group, slice) cell holds about ``rows_per_slice`` rows. Each cell is windowed on its
-own and the effect of the earlier slices arrives as one carried row per hot cell. The rows are
-shuffled once, by cell; the carried rows are few, and their join reuses the window's
-partitioning and sort where they are too many to broadcast.
-
-Hot groups and cut points are measured by aggregates when the operator is called and then fixed
-as literals: both sides of the carry join must see identical cuts, also when a lost executor
-makes Spark recompute one of them. Without a hot group it is a plain window.
+``rows_per_slice``, and run over those as a prefix scan:
+
+1. The hot rows are dealt by ranges of (group, order). A range is a slice; Spark's range sampling
+   places the bounds, also within a group, and the order is total, so ties are parted too. The
+   numbered slices are written to the shared folder, so what a lost executor recomputes is the same.
+2. Each (group, slice) cell is reduced to one row, and these few are summed up or carried on along
+   the slices of their group.
+3. Each cell is windowed on its own and joined with what its earlier cells carry.
+
+No cut point comes to the driver or into the plan, which is as large for a billion rows as for a
+thousand. The other groups take a plain window, and without a hot group nothing is written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from math import ceil, isqrt
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from spindrift.operators.staging import staged
+
 ROWS_PER_SLICE = 1_000_000
 MAX_HOT_GROUPS = 1000
+#: More slices than this are not dealt; they get larger instead, and sorting them spills.
+MAX_SLICES = 16_384
 
 
 @dataclass(frozen=True)
-class Cuts:
-    """Ascending cut points and hashes of the groups they apply to, all groups for None.
+class Hot:
+    """How many slices the hot groups need, and hashes of these groups, all groups for None.
 
     A group that shares a hash with a hot one is cut too, which does no harm.
     """
 
-    points: Sequence[float] = ()
-    hot: Sequence[int] | None = None
-
-
-NO_CUTS = Cuts()
+    slices: int = 0
+    groups: Sequence[int] | None = ()
 
 
-def measure(
-    df: DataFrame, keys: Sequence[str], position: Column, rows_per_slice: int,
-    positions: DataFrame | None = None,
-) -> Cuts:
-    """Find hot groups and cut points.
+def measure(df: DataFrame, keys: Sequence[str], rows_per_slice: int) -> Hot:
+    """Find hot groups.
 
-    Any cut points give right results, so ``positions`` may be a cheaper table whose positions
-    are spread alike, and ``df`` a cheaper one with the same group sizes. At most
-    ``MAX_HOT_GROUPS`` + 1 group sizes come to the driver; when there are more hot groups, every
-    group is cut. The number of slices follows the rows; a cut point is one literal number.
+    At most ``MAX_HOT_GROUPS`` + 1 group sizes come to the driver; when there are more hot groups,
+    every group is cut.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     large = sizes.where(F.col("_size") > rows_per_slice).orderBy(F.col("_size").desc())
     found = large.select(_hash(keys).alias("_hash"), "_size").limit(MAX_HOT_GROUPS + 1).collect()
     if not found:
-        return NO_CUTS
-    hot, rows = None, sum(r["_size"] for r in found)
+        return Hot()
+    groups, rows = None, sum(r["_size"] for r in found)
     if len(found) > MAX_HOT_GROUPS:
         rows = df.count()
     elif keys:
-        hot = tuple(r["_hash"] for r in found)
-    slices = ceil(rows / rows_per_slice)
-    if positions is None:
-        positions = df.where(is_hot(keys, hot))
-    shares = [i / slices for i in range(1, slices)]
-    points = positions.agg(
-        F.percentile_approx(position.cast("double"), shares, max(10_000, 10 * slices)).alias("p")
-    ).first()["p"]
-    return Cuts(sorted(set(points or [])), hot)
+        groups = tuple(r["_hash"] for r in found)
+    return Hot(min(ceil(rows / rows_per_slice), MAX_SLICES), groups)
 
 
-def is_hot(keys: Sequence[str], hot: Sequence[int] | None) -> Column:
-    return F.lit(True) if hot is None else _hash(keys).isin(list(hot))
+def is_hot(keys: Sequence[str], groups: Sequence[int] | None) -> Column:
+    return F.lit(True) if groups is None else _hash(keys).isin(list(groups))
 
 
 def _hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(F.lit(0), *[F.col(k) for k in keys])
 
 
-def slice_number(position: Column, cuts: Sequence[float]) -> Column:
-    """How many cut points are at or below the position, in about 2·sqrt(n) comparisons."""
-    if not cuts:
-        return F.lit(0)
-    stride = isqrt(len(cuts)) + 1
-    at = F.coalesce(position.cast("double"), F.lit(float("-inf")))
-    fine = F.array(*[F.lit(float(c)) for c in cuts])
-    coarse_cuts = cuts[stride - 1 :: stride]
-    if not coarse_cuts:
-        return F.size(F.filter(fine, lambda cut: cut <= at))
-    coarse = F.array(*[F.lit(float(c)) for c in coarse_cuts])
-    skipped = F.size(F.filter(coarse, lambda cut: cut <= at)) * stride
-    rest = F.slice(fine, skipped + 1, F.lit(stride - 1))
-    return skipped + F.size(F.filter(rest, lambda cut: cut <= at))
-
-
 def spread(lead: Column, tie: Column, low: float, high: float) -> Column:
     """A position for integer-valued ``lead`` whose ties are spread by a numeric tie-break.
 
@@ -109,48 +84,51 @@ def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    position: Column,
+    position: Column | None = None,
     *,
     row_number: str | None = None,
     sums: Mapping[str, str] | None = None,
     lags: Mapping[str, str] | None = None,
     fills: Mapping[str, str] | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
-    cuts: Cuts | None = None,
+    measured: bool = True,
 ) -> DataFrame:
     """Running values per group in one pass.
 
-    ``order`` holds ascending expressions that rank rows uniquely (negate a column to descend);
-    ``position`` is numeric and never decreases along that order. ``row_number`` names a
-    1-based rank; ``sums``, ``lags`` and ``fills`` map a new column to the column it runs over:
-    running sum, previous row's value, last value that is not NULL. A running sum of doubles
-    depends on the order of addition in its last digits, so give decimals. ``cuts`` replaces the
-    measured cut points.
+    ``order`` holds ascending expressions that rank rows uniquely (negate a column to descend); rows
+    that it leaves equal get their places in any order and are not parted by slices. ``row_number``
+    names a 1-based rank; ``sums``, ``lags`` and ``fills`` map a new column to the column it runs
+    over: running sum, previous row's value, last value that is not NULL. A running sum of doubles
+    depends on the order of addition in its last digits, so give decimals. Groups that a domain
+    bounds need not be ``measured``. ``position`` is not used.
     """
     sums, lags, fills = dict(sums or {}), dict(lags or {}), dict(fills or {})
-    if cuts is None:
-        cuts = measure(df, keys, position, rows_per_slice)
-    if not cuts.points:
+    hot = measure(df, keys, rows_per_slice) if measured else Hot()
+    if not hot.slices:
         return _within(df, list(keys), order, row_number, sums, lags, fills)
-
-    original = df.columns
-    hot = is_hot(keys, cuts.hot)
-    cell = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)],
-                    F.when(hot, slice_number(position, cuts.points)).otherwise(0).alias("slice"))
-    sliced = df.withColumn("_cell", cell)
-    along = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
-    last_row = {f"_l{i}": F.max_by(F.col(c), along) for i, c in enumerate(lags.values())}
-    last_known = {
-        f"_f{i}": F.max_by(F.col(c), F.when(F.col(c).isNotNull(), along))
-        for i, c in enumerate(fills.values())
-    }
+    inside = is_hot(keys, hot.groups)
+    scanned = _scan(df.where(inside), keys, order, hot.slices, row_number, sums, lags, fills)
+    if hot.groups is None:
+        return scanned
+    return _within(df.where(~inside), list(keys), order, row_number, sums, lags, fills).unionByName(scanned)
+
+
+def _scan(df, keys, order, slices, row_number, sums, lags, fills) -> DataFrame:
+    """The prefix scan of the module text."""
+    new = [*sums, *lags, *fills, *([row_number] if row_number is not None else [])]
+    along = {f"_o{i}": o for i, o in enumerate(order)}
+    dealt = df.withColumns(along).repartitionByRange(slices, *keys, *along).withColumn("_slice", F.spark_partition_id())
+    sliced = staged(dealt, "slices")
+    # keys in a struct, whose null fields are equal
+    cell = F.struct("_slice", *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    sliced = sliced.withColumn("_cell", cell)
+    place = F.struct(F.lit(0).alias("_"), *along)
+    last_row = {f"_l{i}": F.max_by(F.col(c), place) for i, c in enumerate(lags.values())}
+    last_known = {f"_f{i}": F.max_by(F.col(c), F.when(F.col(c).isNotNull(), place)) for i, c in enumerate(fills.values())}
     totals = {f"_s{i}": F.sum(F.col(c)) for i, c in enumerate(sums.values())}
-    per_cell = sliced.where(hot).groupBy("_cell").agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[a.alias(n) for n, a in {**totals, **last_row, **last_known}.items()],
-    )
-    group = [F.col(f"_cell.k{i}") for i in range(len(keys))]
-    over = Window.partitionBy(*group).orderBy("_cell.slice")
+    per_cell = sliced.groupBy("_cell").agg(
+        F.count(F.lit(1)).alias("_n"), *[a.alias(n) for n, a in {**totals, **last_row, **last_known}.items()])
+    over = Window.partitionBy(*[F.col(f"_cell.k{i}") for i in range(len(keys))]).orderBy("_cell._slice")
     before = over.rowsBetween(Window.unboundedPreceding, -1)
     carried = {"_n": F.sum("_n").over(before)}
     carried |= {n: F.sum(n).over(before) for n in totals}
@@ -158,19 +136,17 @@ def running(
     carried |= {n: F.last(n, ignorenulls=True).over(before) for n in last_known}
     carry = per_cell.select(F.col("_cell"), *[c.alias(n) for n, c in carried.items()])
 
-    local = _within(sliced, ["_cell"], order, "_rn", sums, lags, fills)
+    local = _within(sliced, ["_cell"], [F.col(c) for c in along], "_rn", sums, lags, fills)
     both = local.join(carry, "_cell", "left")
-    # a sum over NULLs only is NULL, on either side of a cut
-    # and the type of a sum is that of the plain window, however the rows are cut
+    # a sum over NULLs only is NULL, on either side of a cut, and the type of a sum is that of the
+    # plain window
     result = {n: F.coalesce(F.col(n) + F.col(f"_s{i}"), F.col(n), F.col(f"_s{i}"))
               .cast(local.schema[n].dataType) for i, n in enumerate(sums)}
-    result |= {n: F.when(F.col("_rn") == 1, F.col(f"_l{i}")).otherwise(F.col(n))
-               for i, n in enumerate(lags)}
+    result |= {n: F.when(F.col("_rn") == 1, F.col(f"_l{i}")).otherwise(F.col(n)) for i, n in enumerate(lags)}
     result |= {n: F.coalesce(F.col(n), F.col(f"_f{i}")) for i, n in enumerate(fills)}
     if row_number is not None:
         result[row_number] = F.col("_rn") + F.coalesce(F.col("_n"), F.lit(0))
-    return both.select(*[c for c in original if c not in result],
-                       *[c.alias(n) for n, c in result.items()])
+    return both.select(*[c for c in df.columns if c not in new], *[result[n].alias(n) for n in new])
 
 
 def _within(df, keys, order, row_number, sums, lags, fills) -> DataFrame:
@@ -192,7 +168,7 @@ def dense_rank(
     *,
     descending: bool = False,
     rows_per_slice: int = ROWS_PER_SLICE,
-    cuts: Cuts | None = None,
+    measured: bool = True,
 ) -> DataFrame:
     """Dense rank of a numeric column per group; NULL values get a NULL rank.
 
@@ -201,8 +177,7 @@ def dense_rank(
     """
     direction = -F.col(value) if descending else F.col(value)
     pairs = df.where(F.col(value).isNotNull()).select(*keys, value).distinct()
-    ranked = running(pairs, keys, [direction], direction, row_number=name,
-                     rows_per_slice=rows_per_slice, cuts=cuts)
+    ranked = running(pairs, keys, [direction], row_number=name, rows_per_slice=rows_per_slice, measured=measured)
     pair = F.struct(*[F.col(k) for k in keys], F.col(value))
     right = ranked.select(pair.alias("_pair"), F.col(name).cast("int").alias(name))
     return df.withColumn("_pair", pair).join(right, "_pair", "left").drop("_pair")
@@ -212,7 +187,6 @@ def rolling_mean(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    position: Column,
     value: str,
     n: int,
     name: str,
@@ -229,7 +203,7 @@ def rolling_mean(
         raise ValueError("the window must hold at least one row")
     block_rows = max(rows_per_slice, n)
     original = df.columns
-    numbered = running(df, keys, order, position, row_number="_rn", rows_per_slice=rows_per_slice)
+    numbered = running(df, keys, order, row_number="_rn", rows_per_slice=rows_per_slice)
     block = F.floor((F.col("_rn") - 1) / block_rows)
     is_tail = (F.col("_rn") - 1) % block_rows >= block_rows - (n - 1)
     copies = F.when(is_tail, F.array(block, block + 1)).otherwise(F.array(block))
@@ -263,7 +237,7 @@ def quantiles(
     counted = (
         df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
     )
-    summed = running(counted, keys, [F.col(value)], F.col(value), sums={"_upto": "_c"},
+    summed = running(counted, keys, [F.col(value)], sums={"_upto": "_c"},
                      rows_per_slice=rows_per_slice)
     sizes = counted.groupBy(*keys).agg(F.sum("_c").alias("_size"))
     group = F.struct(F.lit(0).alias("_"), *[F.col(k) for k in keys])

@@ -190,14 +190,8 @@ def running_statement(
     entries = legs.unionByName(opening)
     # highest value first within a day
     order = [F.col("transaction_date"), -F.col("value"), F.col("transaction_id")]
-    ends = details.agg(F.max(F.abs("value")), F.min("transaction_id"), F.max("transaction_id")).first()
-    cents, first_id, last_id = 100 * float(ends[0] or 0), ends[1] or 0, ends[2] or 0
-    # days, amounts within a day and ids within an amount: any of them may hold most rows
-    by_id = slices.spread(F.round(-100 * F.col("value")), F.coalesce("transaction_id", F.lit(first_id)),
-                          first_id, last_id)
-    position = slices.spread(dates.day_number(F.col("transaction_date")), by_id, -cents, cents + 1)
     run = slices.running(
-        entries, ["account_number"], order, position,
+        entries, ["account_number"], order,
         sums={"balance": "value"}, lags={"transaction_value": "value"}, rows_per_slice=rows_per_slice,
     )
     return run.select("account_number", "transaction_date", "transaction_value", "balance")
@@ -264,7 +258,7 @@ def nearest_branch(
     ranked = slices.dense_rank(
         near, ["branch"], "distance_in_miles", "customer priority",
         rows_per_slice=rows_per_slice or slices.ROWS_PER_SLICE,
-        cuts=slices.NO_CUTS if rows_per_slice is None else None,
+        measured=rows_per_slice is not None,
     )
     shown = {
         "branch": "Branch", "b_lon": "Branch Long", "b_lat": "Branch Lat", "customer": "Customer",

@@ -44,7 +44,7 @@ def test_running(spark, limit, keys):
             last = v if v is not None else last
             expected[i] = (n + 1, total, members[n - 1][3] if n else None, last)
     df = slices.running(
-        frame(spark, rows), keys, [F.col("t"), F.col("id")], F.col("t"), row_number="n",
+        frame(spark, rows), keys, [F.col("t"), F.col("id")], row_number="n",
         sums={"total": "v"}, lags={"before": "v"}, fills={"known": "v"}, rows_per_slice=limit,
     )
     got = {r["id"]: (r["n"], r["total"], r["before"], r["known"]) for r in df.collect()}
@@ -59,9 +59,36 @@ def test_running_with_every_group_hot(spark, monkeypatch):
 def test_only_hot_groups_are_cut(spark):
     rows = facts(2)
     sizes = {g: len(m) for g, m in by_group(rows).items()}
-    cuts = slices.measure(frame(spark, rows), ["g"], F.col("t"), 100)
-    assert len(cuts.hot) == sum(1 for n in sizes.values() if n > 100) == 1
-    assert slices.measure(frame(spark, rows), ["g"], F.col("t"), 1000) == slices.NO_CUTS
+    hot = slices.measure(frame(spark, rows), ["g"], 100)
+    assert len(hot.groups) == sum(1 for n in sizes.values() if n > 100) == 1
+    assert hot.slices == -(-max(sizes.values()) // 100)
+    assert slices.measure(frame(spark, rows), ["g"], 1000) == slices.Hot()
+
+
+def test_the_plan_does_not_grow_with_the_rows(spark):
+    def plan(rows):
+        df = spark.range(rows).select((F.col("id") % 2).alias("g"), "id", F.lit(1).alias("v"))
+        found = slices.running(df, ["g"], [F.col("id")], sums={"s": "v"}, lags={"l": "id"}, rows_per_slice=10)
+        assert found.where(F.col("s") != F.floor(F.col("id") / 2) + 1).isEmpty()
+        return found._jdf.queryExecution().optimizedPlan().toString()
+
+    small, large = plan(100), plan(4000)
+    assert abs(len(large) - len(small)) < 20
+
+
+def test_a_lost_slice_is_made_again_alike(spark):
+    """The slices are files, so a second evaluation of either side of the join reads the same ones."""
+    df = spark.range(3000).select(F.lit("g").alias("g"), F.xxhash64("id").alias("t"))
+    found = slices.running(df, ["g"], [F.col("t")], row_number="n", rows_per_slice=100)
+    assert "Range" not in found._jdf.queryExecution().optimizedPlan().toString()
+    numbers = [sorted(r["n"] for r in found.collect()) for _ in range(2)]
+    assert numbers == [list(range(1, 3001))] * 2
+
+
+def test_ties_of_one_position_are_parted(spark):
+    df = spark.range(1000).select(F.lit(None).cast("string").alias("g"), F.lit(7).alias("t"), "id")
+    found = slices.running(df, ["g"], [F.col("t"), F.col("id")], row_number="n", rows_per_slice=50)
+    assert found.where(F.col("n") != F.col("id") + 1).isEmpty() and found.count() == 1000
 
 
 @pytest.mark.parametrize("descending", [False, True])
@@ -80,7 +107,7 @@ def test_dense_rank(spark, descending, limit):
 def test_rolling_mean(spark, limit):
     rows = [(i, g, t, 5 if v is None else v) for i, g, t, v in facts(4)]
     df = slices.rolling_mean(
-        frame(spark, rows), ["g"], [F.col("t"), F.col("id")], F.col("t"), "v", 4, "m", rows_per_slice=limit
+        frame(spark, rows), ["g"], [F.col("t"), F.col("id")], "v", 4, "m", rows_per_slice=limit
     )
     got = {r["id"]: r["m"] for r in df.collect()}
     assert len(got) == len(rows)
@@ -106,13 +133,6 @@ def test_quantiles(spark, limit):
             assert got[group][name] == pytest.approx(low + (high - low) * (at - int(at)))
 
 
-def test_slice_number_counts_cuts(spark):
-    cuts = [1.0, 2.0, 2.5, 4.0, 7.0, 7.5, 9.0, 11.0, 12.0, 30.0]
-    df = spark.createDataFrame([(float(x) / 2,) for x in range(-2, 70)] + [(None,)], "x double")
-    for row in df.select("x", slices.slice_number(F.col("x"), cuts).alias("s")).collect():
-        assert row["s"] == (0 if row["x"] is None else sum(c <= row["x"] for c in cuts))
-
-
 def test_spread_keeps_order(spark):
     df = spark.createDataFrame([(d, t) for d in (1, 2) for t in (-50, -5, 0, 5, 50)], "d int, t int")
     rows = df.select("d", "t", slices.spread(F.col("d"), F.col("t"), -5, 5).alias("p")).collect()
