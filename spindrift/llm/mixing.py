@@ -159,11 +159,8 @@ def mix(df: DataFrame, *, weights: Sequence[float] = WEIGHTS, cap: int = CAP, st
     rated = docs.join(solved, known).select(
         "doc_id", "source", "size", "sid", "source_size", "target",
         F.round(rate * _UNIT).cast("long").alias("units"))
-    ends = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    low, high = (ends[0] or 0), (ends[1] or 0)
-    position = slices.spread(-F.col("size"), F.coalesce("doc_id", F.lit(low)), low, high)
     run = written(slices.running(
-        rated, ["sid"], [-F.col("size"), F.col("doc_id")], position, sums={"upto": "units"},
+        rated, ["sid"], [-F.col("size"), F.col("doc_id")], sums={"upto": "units"},
         rows_per_slice=rows_per_slice), "running")
 
     def copies(start: Column) -> Column:
@@ -202,8 +199,8 @@ def mixed(df: DataFrame, *, rows_per_slice: int = 200_000, **parameters) -> Data
     counted = [single]
     if not times.where(F.col("m") > 1).isEmpty():
         place = F.xxhash64("row")
-        ranked = slices.running(shared.withColumn("_p", place), ["id"], [F.col("_p")], F.col("_p"),
-                                row_number="_place", rows_per_slice=rows_per_slice)
+        ranked = slices.running(shared.withColumn("_p", place), ["id"], [F.col("_p")], row_number="_place",
+                                rows_per_slice=rows_per_slice)
         more = (F.col("_place") <= F.col("n") % F.col("m")).cast("int")
         counted.append(ranked.select("row", (F.floor(F.col("n") / F.col("m")) + more).cast("int").alias("n")))
     return reduce(DataFrame.unionByName, counted).select(

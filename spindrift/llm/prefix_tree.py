@@ -49,9 +49,7 @@ def numbered_turns(df: DataFrame, *, conv_id: str = "conv_id", turn: str = "turn
                       F.sha2(content, 256).alias("_d"), F.length(said[1]).cast("long").alias("chars"))
     turns = turns.where(F.col("conv_id").isNotNull()).select(
         "conv_id", "turn", _piece("_d", 1).alias("a"), _piece("_d", 16).alias("b"), "chars")
-    known = slices.spread(F.col("turn"), F.col("a"), 0, 1 << 60)
-    position = F.coalesce(known, F.lit(-2e18) + F.col("a") * F.lit(1e18 / (1 << 60)))
-    return slices.running(turns, ["conv_id"], [F.col("turn"), F.col("a"), F.col("b")], position, row_number="rn",
+    return slices.running(turns, ["conv_id"], [F.col("turn"), F.col("a"), F.col("b")], row_number="rn",
                           rows_per_slice=rows_per_slice).drop("turn")
 
 
@@ -84,7 +82,7 @@ def prefixes(rows: DataFrame, *, rows_per_slice: int = slices.ROWS_PER_SLICE) ->
     d = F.col("depth")
     salted = [F.xxhash64("a", "b", "depth"), F.xxhash64("b", "depth", "a")]
     rows = rows.withColumns({f"salted{i}": F.when(d > 0, s).otherwise(0).cast("decimal(20,0)") for i, s in enumerate(salted)})
-    run = slices.running(rows, ["conv_id"], [d], d, sums={"upto0": "salted0", "upto1": "salted1"}, rows_per_slice=rows_per_slice)
+    run = slices.running(rows, ["conv_id"], [d], sums={"upto0": "salted0", "upto1": "salted1"}, rows_per_slice=rows_per_slice)
     before = _key(d - 1, F.col("upto0") - F.col("salted0"), F.col("upto1") - F.col("salted1"))
     return run.select("conv_id", "depth", "length", "chars", _key(d, F.col("upto0"), F.col("upto1")).alias("key"),
                       F.when(d > 0, before).alias("before"))
