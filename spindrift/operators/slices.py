@@ -69,22 +69,10 @@ def _hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(F.lit(0), *[F.col(k) for k in keys])
 
 
-def spread(lead: Column, tie: Column, low: float, high: float) -> Column:
-    """A position for integer-valued ``lead`` whose ties are spread by a numeric tie-break.
-
-    Without it all rows with one hot ``lead`` value would land in one slice. Tie-breaks outside
-    ``low`` to ``high`` count as the nearer end, which keeps the order.
-    """
-    span = float(high) - float(low) + 1.0
-    share = (tie.cast("double") - float(low)) / span
-    return lead.cast("double") + F.greatest(F.lit(0.0), F.least(share, F.lit(1.0 - 1e-6)))
-
-
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    position: Column | None = None,
     *,
     row_number: str | None = None,
     sums: Mapping[str, str] | None = None,
@@ -100,7 +88,7 @@ def running(
     names a 1-based rank; ``sums``, ``lags`` and ``fills`` map a new column to the column it runs
     over: running sum, previous row's value, last value that is not NULL. A running sum of doubles
     depends on the order of addition in its last digits, so give decimals. Groups that a domain
-    bounds need not be ``measured``. ``position`` is not used.
+    bounds need not be ``measured``.
     """
     sums, lags, fills = dict(sums or {}), dict(lags or {}), dict(fills or {})
     hot = measure(df, keys, rows_per_slice) if measured else Hot()

@@ -131,10 +131,3 @@ def test_quantiles(spark, limit):
             low = values[int(at)]
             high = values[min(int(at) + 1, len(values) - 1)]
             assert got[group][name] == pytest.approx(low + (high - low) * (at - int(at)))
-
-
-def test_spread_keeps_order(spark):
-    df = spark.createDataFrame([(d, t) for d in (1, 2) for t in (-50, -5, 0, 5, 50)], "d int, t int")
-    rows = df.select("d", "t", slices.spread(F.col("d"), F.col("t"), -5, 5).alias("p")).collect()
-    ordered = [r["p"] for r in sorted(rows, key=lambda r: (r["d"], r["t"]))]
-    assert ordered == sorted(ordered) and ordered[4] < ordered[5]
