@@ -7,8 +7,11 @@ the caller asks for something else.
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -67,8 +70,8 @@ def read_many(
     ``from_name`` maps a new column to a regex whose first group is taken from the path. All files
     have one header and are one scan, unless ``spellings`` is given: then columns are matched by
     name, whatever their order; ``spellings`` maps a header to the schema's name for it, other
-    columns are left out, and a file that lacks a column is an error. That reads every file's
-    header first and makes a scan per distinct header.
+    columns are left out, and a file that lacks a column is an error. One job finds the headers of
+    all files, and each distinct header makes a scan.
     """
     if spellings is not None:
         return _by_name(spark, path, schema, from_name, spellings, options)
@@ -77,17 +80,13 @@ def read_many(
 
 def _by_name(spark, path, schema, from_name, spellings, options) -> DataFrame:
     wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-    files = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(files):
-        by_header.setdefault(tuple(read_csv(spark, file, **options).columns), []).append(file)
+    of = {f.name: f.dataType for f in wanted.fields}
     parts = []
-    for header, group in by_header.items():
+    for header, group in header_catalogue(spark, path, **options).items():
         names = [spellings.get(h, h) for h in header]
         lacking = [f.name for f in wanted.fields if names.count(f.name) != 1]
         if lacking:
             raise ValueError(f"{group[0]} has no single column for {lacking}")
-        of = {f.name: f.dataType for f in wanted.fields}
         own = T.StructType([T.StructField(h, of.get(n, T.StringType())) for h, n in zip(header, names)])
         df = _from_path(read_csv(spark, group, own, **options), from_name)
         parts.append(df.select(
@@ -97,6 +96,39 @@ def _by_name(spark, path, schema, from_name, spellings, options) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def header_catalogue(
+    spark: SparkSession, path: str | Sequence[str], *, separator: str = ",", encoding: str = "UTF-8", **_
+) -> dict[tuple[str, ...], list[str]]:
+    """The headers found at a path, each with its files in order; an empty file has no column.
+
+    One job for all files: every task keeps the first line of the files it opens at their start, and
+    lines that are alike are put together, so as many rows as there are headers come to the driver.
+    """
+    lines = spark.read.text(path)
+    starts = lines.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.col("value").cast("binary").alias("line"),
+    ).where(F.col("at") == 0)
+    # the lines of a file's first block are read by one task and in order
+    firsts = starts.groupBy("file").agg(F.first("line").alias("line"))
+    found = firsts.groupBy("line").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(found, key=lambda r: r["files"]):
+        text = bytes(row["line"]).decode(encoding, "replace").removeprefix("\ufeff")
+        header = tuple(next(csv.reader([text], delimiter=separator), ()))
+        by_header.setdefault(header, []).extend(map(_as_path, row["files"]))
+    known = {f for files in by_header.values() for f in files}
+    empty = sorted({_as_path(f) for f in lines.inputFiles()} - known)
+    if empty:
+        by_header.setdefault((), []).extend(empty)
+    return {header: sorted(files) for header, files in by_header.items()}
+
+
+def _as_path(uri: str) -> str:
+    """A path that Spark's readers take from the escaped one they report, spelled in one way."""
+    return re.sub(r"^(\w+):/(?!/)", r"\1:///", unquote(uri))
+
+
 def _from_path(df: DataFrame, from_name: Mapping[str, str]) -> DataFrame:
     source = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
     return df.select(
