@@ -26,12 +26,30 @@ def top_dense(
 ) -> DataFrame:
     """Rows whose value is among the ``n`` best distinct values of the group, all ties kept.
 
-    Up to 1000 values, Spark keeps only rows of the ``n`` best of each task before the shuffle, so
-    a hot group stays small, but for its ties.
+    1. The values of a group are dealt by their hash into ``4 n`` parts and the best of each part is
+       taken, which combines before the shuffle. These are distinct values of the group, so none
+       worse than the ``n``-th best of them counts; a group with fewer is not bounded.
+    2. The distinct values that are left, few more than ``n``, are ranked.
+    3. The ranks are joined back to the rows, by broadcast where they were counted to be few, else
+       with skew handling, so the ties of a value are never in one task for their number.
+
+    The first two read keys and value only.
     """
-    order = value.desc_nulls_last() if descending else value.asc_nulls_last()
-    rank = F.dense_rank().over(Window.partitionBy(*keys).orderBy(order))
-    return df.where(value.isNotNull()).withColumn(name, rank).where(F.col(name) <= n)
+    best, order = (F.max, F.desc) if descending else (F.min, F.asc)
+    group = F.struct(F.lit(0).alias("_"), *[F.col(k) for k in keys])
+    known = df.where(value.isNotNull())
+    narrow = known.select(group.alias("_group"), value.alias("_value"))
+    parts = narrow.groupBy("_group", F.pmod(F.xxhash64("_value"), F.lit(4 * n)).alias("_part")).agg(
+        best("_value").alias("_value"))
+    place = F.row_number().over(Window.partitionBy("_group").orderBy(order("_value")))
+    bounds = broadcast_if_small(parts.withColumn("_place", place).where(F.col("_place") == n).select(
+        "_group", F.col("_value").alias("_bound")))
+    good = F.col("_value") >= F.col("_bound") if descending else F.col("_value") <= F.col("_bound")
+    candidates = narrow.join(bounds, "_group", "left").where(F.col("_bound").isNull() | good)
+    rank = F.dense_rank().over(Window.partitionBy("_group").orderBy(order("_value")))
+    ranked = candidates.select("_group", "_value").distinct().withColumn(name, rank).where(F.col(name) <= n)
+    both = known.withColumns({"_group": group, "_value": value})
+    return both.join(broadcast_if_small(ranked), ["_group", "_value"]).select(*df.columns, name)
 
 
 def small_copy(df: DataFrame, most: int = 10_000) -> DataFrame | None:

@@ -180,6 +180,18 @@ def test_top_dense_keeps_ties_and_nulls_out(spark):
         assert got == expected
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_top_dense_with_half_of_the_rows_tied(spark, descending):
+    """The ties stay where they are read: no exchange takes the rows."""
+    df = spark.range(20_000).select("id", F.lit("hot").alias("g"), F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("v"))
+    df = df.where(F.col("v") <= 7 if descending else F.col("v") >= 7)
+    out = windows.top_dense(df, ["g"], F.col("v"), 3, "r", descending=descending)
+    best = [7, 5, 3] if descending else [7, 9, 11]
+    assert {(r["v"], r["r"]) for r in out.collect()} == {(v, i + 1) for i, v in enumerate(best)}
+    assert out.where(F.col("v") == 7).count() == 10_001
+    assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_broadcast_if_small_leaves_larger_tables(spark):
     df = spark.range(30)
     assert windows.broadcast_if_small(df, 10) is df
