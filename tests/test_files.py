@@ -1,8 +1,10 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from spindrift.operators import staging
 from spindrift.operators.columns import snake
 from spindrift.sources import files, sinks
 
@@ -63,6 +65,39 @@ def test_files_are_matched_by_header_name(spark, tmp_path):
         read(spellings={})
 
 
+def test_headers_of_many_files_take_one_job(spark, tmp_path):
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(n):
+        folder = tmp_path / f"{n} files"
+        for i in range(n):
+            head, row = [("id,v", f"{i},a"), ("v,id", f"a,{i}"), ('"id","other, one",v', f'{i},"x,y",a')][i % 3]
+            write(folder / f"{i}.csv", f"{head}\n{row}\n")
+        spark.sparkContext.setJobGroup(f"headers {n}", "")
+        df = files.read_many(spark, f"{folder}/*.csv", "id int, v string", {"n": r"(\d+)\.csv$"}, spellings={})
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert sorted((r["id"], r["v"], r["n"]) for r in df.collect()) == sorted((i, "a", str(i)) for i in range(n))
+        return len(tracker.getJobIdsForGroup(f"headers {n}"))
+
+    few = jobs(3)
+    assert jobs(30) == few
+    assert jobs(90) <= few + 1  # Spark lists more than 32 paths by a job of its own
+
+
+def test_header_catalogue(spark, tmp_path):
+    write(tmp_path / "h/1.csv", b"\xef\xbb\xbfid,v\r\n1,a\r\n")
+    write(tmp_path / "h/a b%20c.csv", "id,v\n" + "2,b\n" * 5000)
+    write(tmp_path / "h/3.csv", "id;v")
+    write(tmp_path / "h/4.csv", "")
+    found = files.header_catalogue(spark, f"{tmp_path}/h/*.csv")
+    assert {h: [f.rsplit("/", 1)[1] for f in group] for h, group in found.items()} == {
+        ("id", "v"): ["1.csv", "a b%20c.csv"], ("id;v",): ["3.csv"], (): ["4.csv"]}
+    write(tmp_path / "l/1.csv", b"caf\xe9;v\n1;a\n")
+    assert list(files.header_catalogue(spark, f"{tmp_path}/l", separator=";", encoding="ISO-8859-1")) == [("caf\xe9", "v")]
+    with pytest.raises(ValueError, match="4.csv has no single column"):
+        files.read_many(spark, [f"{tmp_path}/h/1.csv", f"{tmp_path}/h/4.csv"], "id int, v string", {}, spellings={})
+
+
 def test_bad_cells_are_errors_unless_asked(spark, tmp_path):
     path = write(tmp_path / "a.csv", "id,v\nx,a\n")
     with pytest.raises(Exception, match="(?i)malformed"):
@@ -83,12 +118,48 @@ def test_landed_headers_fit_the_jobs(spark, tmp_path):
 
 def test_ordered_output_and_shared_parent(spark, tmp_path):
     df = spark.range(100).withColumn("k", F.col("id") * 37 % 100)
-    sinks.write_outputs({"o": df, "p": df.select("k")}, str(tmp_path), shared=[df], order_by=["k"])
+    sinks.write_outputs({"o": lambda d: d, "p": lambda d: d.select("k")}, str(tmp_path), shared=[df], order_by=["k"])
     parts = sorted((tmp_path / "o").glob("part-*"))
     lines = [line.split(",")[1] for p in parts for line in p.read_text().splitlines()[1:]]
     assert lines == [str(i) for i in range(100)]
 
 
+@pytest.mark.parametrize("kind", ["parquet", "json"])
+def test_ordered_files_of_other_formats(spark, tmp_path, kind):
+    df = spark.range(500).withColumn("k", F.col("id") * 37 % 500).repartition(7)
+    write_kind = {"parquet": sinks.write_parquet, "json": sinks.write_json}[kind]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_kind(df, f"{tmp_path}/o", order_by=[F.col("k").desc()])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "o").glob("part-*"))) > 1
+    read = sinks.read_in_order(spark, f"{tmp_path}/o", kind, "place")
+    assert sorted((r["place"], r["k"]) for r in read.collect()) == [(i + 1, 499 - i) for i in range(500)]
+
+
+def test_a_shared_parent_is_made_once_and_outlives_its_blocks(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    parent = spark.range(100).mapInArrow(count, "id long")
+
+    def second(d):
+        spark.catalog.clearCache()  # what a lost executor takes with it
+        assert "MapInArrow" not in d._jdf.queryExecution().executedPlan().toString()
+        return d.select((F.col("id") * 2).alias("x"))
+
+    before = set(Path(staging.folder(spark)).glob("shared-*"))
+    sinks.write_outputs({"a": lambda d: d, "b": second}, str(tmp_path), shared=[parent])
+    assert made.value == 100
+    assert sum(int(r["x"]) for r in files.read_csv(spark, f"{tmp_path}/b").collect()) == 9900
+    assert set(Path(staging.folder(spark)).glob("shared-*")) == before
+
+
 def test_headerless_with_title_rows(spark, tmp_path):
     path = write(tmp_path / "a.csv", "Title,,\n,,\n1,2,x\n")
     df = files.read_headerless(spark, path, 3, keep=F.col("column_2").isNotNull())
