@@ -81,7 +81,7 @@ def moving_avg_recent(t: Tables) -> DataFrame:
         sum(CAST(l_quantity AS DECIMAL(18,2))) AS quantity, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS price
       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation rn ON s_nationkey = rn.n_nationkey
       JOIN nation pn ON pn.n_nationkey = l_partkey % 25
-      WHERE year(l_shipdate) BETWEEN 1996 AND 1999 GROUP BY ALL)
+      GROUP BY ALL)
     SELECT partner, 'N' || CAST(rk AS VARCHAR) AS country_code, reporter, product_categories, indicator_type, year,
       CAST(quantity AS DOUBLE) AS quantity, CAST(price AS DOUBLE) AS price,
       CASE WHEN rk <> 3 THEN CAST(rk AS DOUBLE) + 0.5 END AS latitude,
@@ -97,10 +97,10 @@ def country_trade_summary(t: Tables) -> DataFrame:
         F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("country_code"),
     )
     partner = t.nation.select(F.col("n_name").alias("Partner"), F.col("n_nationkey").alias("pk"))
-    years = [str(y) for y in range(1996, 2000)]
+    # a column for each year that occurs
+    years = sorted(str(r[0]) for r in t.lineitem.select(F.year("l_shipdate")).distinct().na.drop().collect())
     lines = (
-        t.lineitem.where(F.year("l_shipdate").between(1996, 1999))
-        .join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(reporter, F.col("s_nationkey") == F.col("rk"))
         .join(partner, F.col("l_partkey") % 25 == F.col("pk"))
         .select(
@@ -236,24 +236,16 @@ def month_scaffold_roll(t: Tables) -> DataFrame:
         CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS sales
       FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
     lagged AS (SELECT *, lag(sales) OVER (PARTITION BY store ORDER BY q) AS prev FROM totals),
-    signs AS (
-      SELECT *, sign({sql_ratio("(sales - prev) * 100", "prev", 1)}) AS s0 FROM lagged),
-    three AS (
-      SELECT *, lag(s0, 1) OVER w AS s1, lag(s0, 2) OVER w AS s2 FROM signs
+    marked AS (
+      SELECT *, CASE sign({sql_ratio("(sales - prev) * 100", "prev", 1)})
+        WHEN 1 THEN '+' WHEN -1 THEN '-' WHEN 0 THEN '0' END AS mark FROM lagged),
+    runs AS (
+      SELECT *, lag(mark, 2) OVER w || lag(mark, 1) OVER w || mark AS marks FROM marked
       WINDOW w AS (PARTITION BY store ORDER BY q)),
-    trends AS (
-      SELECT *, CASE
-        WHEN s0 + s1 + s2 = 3 THEN 'Going from strength to strength'
-        WHEN s0 + s1 + s2 = -3 THEN 'Going from bad to worse'
-        WHEN s0 + s1 + s2 = 1 AND s0 = -1 THEN 'Good growth, until Q4'
-        WHEN s0 + s1 + s2 = 1 AND s1 = -1 THEN 'Some good growth, but concerns in Q3'
-        WHEN s0 + s1 + s2 = 1 AND s2 = -1 THEN 'Good growth in last half'
-        WHEN s0 + s1 + s2 = -1 AND s0 = 1 THEN 'Concerning performance, but improving in Q4'
-        WHEN s0 + s1 + s2 = -1 AND s1 = 1 THEN 'Concerning performance, excluding Q3'
-        WHEN s0 + s1 + s2 = -1 AND s2 = 1 THEN 'Concerning performance in last half' END AS trend
-      FROM three)
-    SELECT store, q AS fiscal_quarter, sales, prev AS "%_diff_QoQ",
-      max(trend) OVER (PARTITION BY store) AS store_evaluation FROM trends""",
+    labels(marks, label) AS (VALUES {", ".join(f"('{m}', '{label}')" for m, label in markets.TRENDS.items())}),
+    named AS (SELECT store, max(label) AS label FROM runs JOIN labels USING (marks) GROUP BY store)
+    SELECT store, q AS fiscal_quarter, sales, prev AS "%_diff_QoQ", label AS store_evaluation
+    FROM runs LEFT JOIN named USING (store)""",
 )
 def fiscal_trend(t: Tables) -> DataFrame:
     sheets = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(

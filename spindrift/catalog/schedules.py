@@ -196,7 +196,7 @@ def density_topk(t: Tables) -> DataFrame:
 
 _WALKS = """
     WITH rooms AS (
-      SELECT n_nationkey AS k, CAST((n_nationkey // 5 + 1) * 100 + n_nationkey % 5 + 1 AS BIGINT) AS room FROM nation WHERE n_nationkey < 15),
+      SELECT n_nationkey AS k, CAST((n_nationkey // 5 + 1) * 100 + n_nationkey % 5 + 1 AS BIGINT) AS room FROM nation),
     talks AS (
       SELECT room AS "room_B", CASE room % 5 WHEN 0 THEN 'AP' WHEN 1 THEN 'JM' ELSE 'TB' END AS speaker_initials,
         CASE room % 3 WHEN 0 THEN 'Prep' WHEN 1 THEN 'Server' ELSE 'Desktop' END AS subject FROM rooms
@@ -227,7 +227,7 @@ def _walks(t: Tables, **options) -> DataFrame:
             F.when(key % 5 == 0, " learn").otherwise(" dedup things"),
         ).alias("description"),
     )
-    small = t.nation.where("n_nationkey < 15").select(
+    small = t.nation.select(
         F.col("n_nationkey").alias("k"),
         (F.floor(F.col("n_nationkey") / 5) * 100 + 100 + F.col("n_nationkey") % 5 + 1).alias("number"),
     )
@@ -238,14 +238,14 @@ def _walks(t: Tables, **options) -> DataFrame:
             (F.col("number") % 100).alias("room"), F.floor(F.col("number") / 100).alias("f"),
             F.concat(F.lit("Some title - "), who, F.lit(" on "), what).alias("shown"),
         ),
-        ["room"], "f", [1, 2, 3], "shown",
-    ).toDF("room", "floor_1", "floor_2", "floor_3")
+        ["room"], "f", [1, 2, 3, 4, 5], "shown",
+    ).toDF("room", *[f"floor_{i}" for i in range(1, 6)])
     distances = small.select(
         F.col("number").cast("string").alias("room"),
         *[
             F.when(F.col("k") == j, F.lit(0)).when(F.col("k") > j, (F.col("k") - j) * 37 + 13 * j)
             .cast("string").alias(str((j // 5 + 1) * 100 + j % 5 + 1))
-            for j in range(15)
+            for j in range(25)
         ],
     )
     walks = schedules.walking_times(sessions, rooms, distances, **options)
