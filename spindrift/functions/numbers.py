@@ -15,9 +15,10 @@ def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
     """``numerator / denominator`` rounded half away from zero; NULL for a zero denominator.
 
     The division runs in decimal arithmetic with ten digits behind the point, so ties round the
-    way they do on paper. Operands keep eight digits behind the point.
+    way they do on paper. Operands keep eight digits behind the point; numerators have up to 20 before
+    it, denominators up to 22.
     """
-    exact = F.try_divide(numerator.cast(_EXACT), denominator.cast("decimal(22,8)"))
+    exact = F.try_divide(numerator.cast(_EXACT), denominator.cast("decimal(30,8)"))
     return F.round(exact, digits).cast("double")
 
 

@@ -126,3 +126,10 @@ def test_split_rows(spark):
     df = spark.createDataFrame([(1, "4, 5"), (2, "6"), (3, None)], "id int, h string")
     out = reshape.split_rows(df, "h", ",", "bigint").collect()
     assert sorted(map(tuple, out)) == [(1, 4), (1, 5), (2, 6)]
+
+
+def test_ratio_of_large_denominators(spark):
+    rows = [(5, 2 * 10**14), (10**15, 2 * 10**14), (-(10**17), 8 * 10**17), (3, 0)]
+    df = spark.createDataFrame(rows, "a bigint, b bigint")
+    got = [r[0] for r in df.select(numbers.ratio(F.col("a"), F.col("b"), 2)).collect()]
+    assert got == [0.0, 5.0, -0.13, None]
