@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from calendar import month_name
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spindrift.catalog.base import Tables, doubles, longs, money, query, sql_ratio
@@ -75,27 +77,27 @@ def holiday_sheet(t: Tables) -> DataFrame:
 @query(
     "matrix_labels",
     """
-    SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders
-    WHERE month(o_orderdate) <= 3 AND day(o_orderdate) <= 4 AND year(o_orderdate) <= 2000""",
+    SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders WHERE year(o_orderdate) <= 2023""",
 )
 def matrix_labels(t: Tables) -> DataFrame:
-    cells = [f"column_{i}" for i in range(4, 16)]
-    slot = (F.month("d") - 1) * 4 + F.dayofmonth("d") + 3
-    marked = t.orders.select(_day().alias("d")).where((F.month("d") <= 3) & (F.dayofmonth("d") <= 4)).select(
+    days = [(month, day) for month in range(1, 13) for day in range(1, 32)]
+    cells = [f"column_{4 + i}" for i in range(len(days))]
+    slot = (F.month("d") - 1) * 31 + F.dayofmonth("d") + 3
+    marked = t.orders.select(_day().alias("d")).distinct().select(
         F.year("d").alias("y"), F.concat(F.lit("column_"), slot.cast("string")).alias("c")
     )
-    years = reshape.to_wide(marked, ["y"], "c", cells, F.col("y").cast("string"))
+    years = reshape.to_wide(marked, ["y"], "c", cells, F.col("y").cast("string"), coarse=True)
     body = years.select(
         F.lit(None).cast("string").alias("column_2"), F.col("y").cast("string").alias("column_3"), *cells
     )
-    names = {4: "J a n u a r y", 8: "February ", 12: "M arch"}
+    names = [" ".join(month_name[month]) if day == 1 else None for month, day in days]
     above = [
-        ("E x a m p l e", None, *[None] * 12),
-        (None, None, *[str((i - 4) % 4 + 1) for i in range(4, 16)]),
-        (None, None, *[names.get(i) for i in range(4, 16)]),
+        ("E x a m p l e", None, *[None] * len(days)),
+        (None, None, *[str(day) for _, day in days]),
+        (None, None, *names),
     ]
     labels = t.spark.createDataFrame(above, body.schema)
-    return schedules.matrix_dates(body.unionByName(labels), last_year=2000)
+    return schedules.matrix_dates(body.unionByName(labels))
 
 
 _ASOF = """

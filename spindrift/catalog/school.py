@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spindrift.catalog.base import Tables, doubles, longs, money, query, sql_ratio
-from spindrift.operators import reshape, slices, windows
+from spindrift.operators import reshape, selection, windows
 from spindrift.plans import school
 
 
@@ -168,7 +168,7 @@ _QUARTILES = """
 
 
 def _quartiles(t: Tables, **options) -> DataFrame:
-    bounds = slices.quantiles(t.events, ["event_type"], "value", school.QUARTILES, **options)
+    bounds = selection.quantiles(t.events, ["event_type"], "value", school.QUARTILES, **options)
     tiled = t.events.join(windows.broadcast_if_small(bounds), "event_type").withColumn("tile", school.quartile_tile(F.col("value")))
     result = tiled.groupBy("event_type", F.col("tile").cast("bigint").alias("tile")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(money("value")).alias("value"),

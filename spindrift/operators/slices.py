@@ -208,43 +208,3 @@ def rolling_mean(
         .where(F.col("_block") == F.col("_own"))
         .select(*original, F.col("_mean").cast("double").alias(name))
     )
-
-
-def quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    shares: Mapping[str, float],
-    *,
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
-    """Exact interpolated quantiles per group, one column per entry of ``shares``.
-
-    Works on counted distinct values, so no task ever holds a whole group.
-    """
-    counted = (
-        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    )
-    summed = running(counted, keys, [F.col(value)], sums={"_upto": "_c"},
-                     rows_per_slice=rows_per_slice)
-    sizes = counted.groupBy(*keys).agg(F.sum("_c").alias("_size"))
-    group = F.struct(F.lit(0).alias("_"), *[F.col(k) for k in keys])
-    placed = summed.withColumn("_group", group).join(
-        sizes.select(group.alias("_group"), "_size"), "_group"
-    )
-    held = (F.col("_upto") - F.col("_c"), F.col("_upto") - 1)
-    ends: dict[str, Column] = {}
-    result: dict[str, Column] = {}
-    for i, (name, share) in enumerate(shares.items()):
-        at = (F.col("_size") - 1) * F.lit(float(share))
-        for end, position in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            here = F.when(position.between(*held), F.col(value))
-            ends[f"_{end}{i}"] = F.max(here)
-        ends[f"_w{i}"] = F.max(at - F.floor(at))
-        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        result[name] = low + (high - low) * F.col(f"_w{i}")
-    return (
-        placed.groupBy(*keys)
-        .agg(*[c.alias(n) for n, c in ends.items()])
-        .select(*keys, *[c.alias(n) for n, c in result.items()])
-    )

@@ -83,9 +83,11 @@ def matrix_dates(sheet: DataFrame, last_year: int = 2023) -> DataFrame:
     first of its columns only.
     """
     cells = [c for c in sheet.columns if int(c.split("_")[1]) > 3]
-    long = reshape.to_long(sheet, ["column_2", "column_3"], cells, name="col", value="cell")
+    # a sheet is a year wide: one array per row, not one projection of the row per column
+    pairs = F.array(*[F.struct(F.lit(int(c.split("_")[1])).alias("col"), F.col(c).alias("cell")) for c in cells])
+    long = sheet.select("column_2", "column_3", F.inline(pairs))
     long = long.where(F.col("cell").isNotNull()).select(
-        text.extract("col", r"(\d+)").cast("int").alias("col"),
+        "col",
         F.col("column_2").isNotNull().alias("title"),
         F.col("column_3").isNotNull().alias("counted"),
         F.regexp_replace("cell", r"\s", "").alias("cell"),

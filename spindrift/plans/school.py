@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spindrift.functions import cases, dates, numbers, text
-from spindrift.operators import reshape, slices, windows
+from spindrift.operators import reshape, selection, slices, windows
 from spindrift.operators.columns import map_columns, quoted, without
 
 # Results carry these words and limits.
@@ -99,7 +99,7 @@ def low_in_several(
     those of all students.
     """
     marks = reshape.to_long(results, ["student_id"], subjects, name="subject", value="score")
-    bounds = slices.quantiles(marks, ["subject"], "score", QUARTILES, rows_per_slice=rows_per_slice)
+    bounds = selection.quantiles(marks, ["subject"], "score", QUARTILES, rows_per_slice=rows_per_slice)
     # one row per subject
     tiled = marks.join(F.broadcast(bounds), "subject").withColumn("number", quartile_tile(F.col("score")))
     ranged = tiled.join(windows.broadcast_if_small(tiles), "number").join(

@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from spindrift.operators import slices
+from spindrift.operators import selection, slices
 
 
 def facts(seed, rows=600):
@@ -122,7 +122,7 @@ def test_rolling_mean(spark, limit):
 def test_quantiles(spark, limit):
     rows = facts(5)
     shares = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}
-    df = slices.quantiles(frame(spark, rows), ["g"], "v", shares, rows_per_slice=limit)
+    df = selection.quantiles(frame(spark, rows), ["g"], "v", shares, rows_per_slice=limit)
     got = {r["g"]: r for r in df.collect()}
     for group, members in by_group(rows).items():
         values = sorted(r[3] for r in members if r[3] is not None)
@@ -131,3 +131,28 @@ def test_quantiles(spark, limit):
             low = values[int(at)]
             high = values[min(int(at) + 1, len(values) - 1)]
             assert got[group][name] == pytest.approx(low + (high - low) * (at - int(at)))
+
+
+@pytest.mark.parametrize("limit", [8, 200])
+def test_quantiles_narrow_large_groups_by_counts(spark, limit):
+    rng = random.Random(11)
+    rows = [("wide", rng.uniform(-1, 1) * 10 ** rng.randrange(-9, 9)) for _ in range(3000)]
+    rows += [("tied", 5.0 if rng.random() < 0.9 else rng.random() * 10) for _ in range(2000)]
+    rows += [("one", 1.0)] * 700 + [(None, float(i)) for i in range(500)] + [("few", 2.0), ("few", 4.0)]
+    rows += [("none", None)] * 300
+    shares = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.999, "e": 1.0}
+    df = selection.quantiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", shares, rows_per_slice=limit)
+    got = {r["g"]: r for r in df.collect()}
+    assert set(got) == {"wide", "tied", "one", None, "few"}
+    for group in got:
+        values = sorted(v for g, v in rows if g == group and v is not None)
+        for name, share in shares.items():
+            at = (len(values) - 1) * share
+            low, high = values[int(at)], values[min(int(at) + 1, len(values) - 1)]
+            assert got[group][name] == pytest.approx(low + (high - low) * (at - int(at)), rel=1e-12)
+
+
+def test_quantiles_order_no_values(spark):
+    df = selection.quantiles(frame(spark, facts(3)), ["g"], "v", {"a": 0.5}, rows_per_slice=50)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
