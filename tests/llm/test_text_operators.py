@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from spindrift.llm import fertility, mixing, packing, passages, simhash, suffix_dedup
@@ -135,6 +136,29 @@ def test_packing_round_trip(table, request):
                 assert zlib.crc32(ids[r.start:r.start + r.length].tobytes()) == r.ids_crc32
 
 
+def test_few_tokens_are_poured_however_the_table_is_dealt(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").repartition(8)
+    shares = {r["poured"]: r["n"] for r in packing.pack(documents, BPE).groupBy("poured").agg(
+        F.sum("length").alias("n")).collect()}
+    assert shares[True] <= 0.05 * sum(shares.values())
+
+
+@pytest.mark.parametrize("fan_in, most_open", [(2, 4096), (2, 3), (8, 40)])
+def test_rounds_and_bounds_keep_every_token(spark, documents, fan_in, most_open):
+    want = {r["d"]: (r["n"], r["tokens"]) for r in packing.pack(documents.coalesce(1), BPE).groupBy(
+        F.col("doc_id").alias("d")).agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("tokens")).collect()}
+    got = packing.pack(documents.repartition(9), BPE, fan_in=fan_in, most_open=most_open).collect()
+    ends = defaultdict(int)
+    for r in sorted(got, key=lambda r: (r.doc_id, r.start)):
+        assert r.start == ends[r.doc_id]
+        ends[r.doc_id] += r.length
+    assert {d: (n, n) for d, n in ends.items()} == want
+    fills = Counter()
+    for r in got:
+        fills[r.sequence_id] += r.length
+    assert sum(f != 4096 for f in fills.values()) <= 12 and all(f == 4096 or f & (f - 1) == 0 for f in fills.values())
+
+
 def test_a_level_minimises_the_sum_of_squares():
     closed = []
     packer = packing.LevelPacker(16, closed.append)
