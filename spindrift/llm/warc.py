@@ -2,8 +2,12 @@
 
 Archives are written with Spark's own writer, so they go to any store and a lost executor's file is
 written anew. That writer ends every row with a separator; the separator here is a zero byte, which
-takes the place of the last byte of a member (the high byte of its size) where that is zero, and is
-padding between members where it is not. Readers of gzip skip such padding.
+takes the place of the last byte of a member (the high byte of its size). Where that is not zero, in
+records from 16 MiB, an empty member follows, whose size is zero. So an archive is members and
+nothing else, as every reader of gzip expects.
+
+The writer can only count rows. A record that takes more than its share of a file is followed by
+rows of empty members, so that files are bounded by bytes as well as by records.
 
 The reader walks through an archive once: it inflates a member bit by bit, reads the header, takes
 as many bytes as the header announces, and holds them against the digests.
@@ -25,9 +29,13 @@ from spindrift.llm.shared import bounded, fresh_path, record_batch, texts_as_byt
 VERSION = b"WARC/1.1"
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _END = b"\r\n\r\n"
+#: A member that holds nothing.
+_NOTHING = zlib.compressobj(6, zlib.DEFLATED, 31).flush()
 _ID = "urn:x-page:"
 
 LEAST_REVISIT_BYTES = 100
+RECORDS_PER_FILE = 20_000
+FILE_BYTES = 64 << 20
 _ROWS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()),
                    ("payload_digest", pa.string()), ("record_type", pa.string()),
                    ("refers_to", pa.int64()), ("payload", pa.binary())])
@@ -49,10 +57,18 @@ def member(headers: list[tuple[str, str]], block: bytes, level: int = 6) -> byte
     return packer.compress(b"\r\n".join(lines) + _END) + packer.compress(block + _END) + packer.flush()
 
 
+def rows_of(packed: bytes, share: int) -> list[bytes]:
+    """A member as rows that lack their last byte, a zero, one for every ``share`` bytes or part of it."""
+    rows = [packed if packed[-1] == 0 else packed + _NOTHING]
+    rows += [_NOTHING] * ((len(packed) - 1) // share)
+    return [row[:-1] for row in rows]
+
+
 def read(chunks: Iterable[bytes]) -> Iterator[Record]:
     """Records of an archive that comes in chunks of any size.
 
-    Raises ValueError where a member is cut short, framing is wrong or a digest does not fit.
+    Empty members and zero bytes between members are passed over. Raises ValueError where a member
+    is cut short, framing is wrong or a digest does not fit.
     """
     source, rest = iter(chunks), b""
     while True:
@@ -66,7 +82,6 @@ def read(chunks: Iterable[bytes]) -> Iterator[Record]:
         while not inflater.eof:
             if not rest:
                 chunk = next(source, None)
-                # the last byte of the last member may have become the separator of a lost row end
                 if chunk is None:
                     raise ValueError("the archive ends within a record")
                 rest = bytes(chunk)
@@ -81,6 +96,8 @@ def read(chunks: Iterable[bytes]) -> Iterator[Record]:
                     need = cut + len(_END) + int(head["content-length"]) + len(_END)
             if need is not None and have > need:
                 raise ValueError("a record is longer than its header says")
+        if not have:
+            continue
         if head is None or have != need:
             raise ValueError("a record is shorter than its header says")
         whole = b"".join(parts)
@@ -112,15 +129,20 @@ def _reference(page_id: int | None) -> str:
 
 def write_archives(df: DataFrame, path: str, *, page_id: str = "page_id", url: str = "url",
                    html: str = "html", date: str = "1970-01-01T00:00:00Z",
-                   least_revisit_bytes: int = LEAST_REVISIT_BYTES, records_per_file: int = 20_000,
-                   ) -> None:
+                   least_revisit_bytes: int = LEAST_REVISIT_BYTES, records_per_file: int = RECORDS_PER_FILE,
+                   file_bytes: int = FILE_BYTES) -> None:
     """Write one record per page.
 
     Of records with equal payloads of ``least_revisit_bytes`` or more, the one with the smallest id
     is the response and the others revisit it, without the payload; rows that repeat that id are
     responses too. A null page has an empty payload; a null id is never the smallest unless there
-    is no other; other columns are ignored.
+    is no other; other columns are ignored. A file holds at most ``records_per_file`` records and
+    ``file_bytes`` bytes, its last record beyond that at most.
     """
+    if not 0 < records_per_file <= file_bytes:
+        raise ValueError("a file needs a record, and a record a byte")
+    share = file_bytes // records_per_file
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, "payload", 4 << 20):
             out = []
@@ -137,8 +159,7 @@ def write_archives(df: DataFrame, path: str, *, page_id: str = "page_id", url: s
                             ("Content-Type", "application/http; msgtype=response")]
                 if kind == "revisit":
                     headers += [("WARC-Profile", IDENTICAL), ("WARC-Refers-To", _reference(first))]
-                packed = member(headers, block)
-                out.append(packed[:-1] if packed[-1] == 0 else packed)
+                out += rows_of(member(headers, block), share)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["member"])
 
     payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
