@@ -5,8 +5,10 @@ shifted at random, is laid along a Hilbert curve. Spark orders every curve by ra
 meets the vectors in a window around its place on each. Scores are exact; what the windows found is
 merged and ranked again.
 
-The window is a share of all rows, as the neighbours of a vector without structure are spread over
-a share of the curve. Equal vectors are one point of the curve; the ids that can matter of them, one
+The window is measured: a fixed number of queries meet all vectors, and the window is what finds the
+wanted share of their neighbours on some curve. Vectors without structure, whose neighbours are
+spread over a share of the curve, get a window that grows with the rows; on vectors that lie along
+few directions it is much smaller than the table. Equal vectors are one point of the curve; the ids that can matter of them, one
 more than are asked for, come back at the end, so a vector that a third of the rows hold costs no
 more than another.
 """
@@ -23,7 +25,9 @@ from spindrift.llm.shared import record_batch, written
 
 NEAREST = 20
 CURVES = 16
-SHARE = 0.1
+#: Share of the neighbours of ``PROBES`` queries that the window must find.
+RECALL = 0.95
+PROBES = 128
 BLOCK = 2048
 #: Blocks of a curve that one group of a task passes through, merging what queries find in them.
 RUN = 16
@@ -101,12 +105,54 @@ def _merged(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int) -> t
     return q[keep], c[keep], score[keep]
 
 
+def window_for(points: DataFrame, ranked: DataFrame, dims: int, *, n: int, recall: float, probes: int,
+               least_window: int) -> int:
+    """Half of the window that finds a share ``recall`` of the ``n`` nearest of ``probes`` queries.
+
+    ``points``: c, ask, v; ``ranked``: curve, c, place. The queries are those with the least hashes
+    of ``c``, or all if there are fewer; each meets every vector, and a neighbour is found if its
+    place is near enough on one curve. What comes to the driver and to every task is bounded by
+    ``probes`` and ``n``.
+    """
+    chosen = points.where("ask").orderBy(F.xxhash64("c"), "c").limit(probes).select("c", "v").collect()
+    if not chosen:
+        return least_window
+    names = np.array([r["c"] for r in chosen], dtype=np.int64)
+    asked = np.array([r["v"] for r in chosen], dtype=np.float64)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            c, scores = batch["c"].to_numpy(), asked @ _vectors(batch["v"], dims).T
+            scores[names[:, None] == c[None, :]] = -np.inf
+            q, r = _best(scores, c, n)
+            found = [_merged([*found, (names[q], c[r], scores[q, r])], n)]
+        if found:
+            yield record_batch(_PAIRS, found[0])
+
+    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "c"))
+    pairs = points.select("c", "v").mapInArrow(best, "q long, c long, score double").withColumn(
+        "rank", place).where(F.col("rank") <= n).select("q", F.col("c").alias("near")).collect()
+    wanted = sorted({r["near"] for r in pairs} | set(names.tolist()))
+    known = points.sparkSession.createDataFrame([(i,) for i in wanted], "c long")
+    places: dict[int, dict[int, int]] = {}
+    for r in ranked.join(F.broadcast(known), "c").select("curve", "c", "place").collect():
+        places.setdefault(r["c"], {})[r["curve"]] = r["place"]
+    gaps = sorted(min(abs(at - places[r["near"]][curve]) for curve, at in places[r["q"]].items()) for r in pairs)
+    if not gaps:
+        return least_window
+    return max(least_window, int(gaps[min(int(np.ceil(recall * len(gaps))), len(gaps)) - 1]))
+
+
 def nearest(df: DataFrame, is_query: Column, *, n: int = NEAREST, curves: int = CURVES,
-            share: float = SHARE, block: int = BLOCK, least_window: int = LEAST_WINDOW,
-            vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+            recall: float = RECALL, probes: int = PROBES, block: int = BLOCK,
+            least_window: int = LEAST_WINDOW, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``n`` nearest rows found of every query row.
 
-    ``is_query`` is a condition on ``id``. Ties go to the smaller id; fewer candidates give fewer
+    ``is_query`` is a condition on ``id``. The window is measured on ``probes`` queries so that it
+    finds a share ``recall`` of their neighbours (:func:`window_for`). Ties go to the smaller id; fewer candidates give fewer
     rows. Vectors that are null or zero, or hold null or non-finite components, or are not of the
     most frequent length (the longer of two equally frequent), and rows without an id take no
     part; rows that repeat an id are one candidate, with their best score; an empty table gives
@@ -130,7 +176,6 @@ def nearest(df: DataFrame, is_query: Column, *, n: int = NEAREST, curves: int =
         F.min("id").alias("c"), F.max("ask").alias("ask")), "points")
     ids = written(rows.join(points.select("v", "c"), "v").select("id", "c").distinct(), "ids")
     total = points.count()
-    half = max(least_window, int(np.ceil(share * total / 2)))
     shapes = _curves(curves, dims)
     kinds = {"v": points.schema["v"].dataType.simpleString()}
 
@@ -197,6 +242,7 @@ def nearest(df: DataFrame, is_query: Column, *, n: int = NEAREST, curves: int =
         "part", F.coalesce(F.sum("rows").over(over), F.lit(0)).alias("before"))
     place = F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) - F.col("curve") * F.lit(total)
     ranked = placed.withColumn("part", part).join(F.broadcast(before), "part").withColumn("place", place)
+    half = window_for(points, ranked, dims, n=n, recall=recall, probes=probes, least_window=least_window)
     reach = F.sequence(F.floor(F.greatest(F.col("place") - half, F.lit(0)) / block),
                        F.floor(F.least(F.col("place") + half, F.lit(total - 1)) / block))
     own = F.struct(F.floor(F.col("place") / block).alias("block"), F.lit(False).alias("asking"))
