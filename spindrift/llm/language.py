@@ -30,6 +30,7 @@ SYMBOLS = 128
 _SHIFT = 7
 _PAD = b"\n" * ORDER
 _PART = 4 << 20
+_TABLE_BYTES = 64 << 20
 _COUNTS = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 _RESULT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()),
                      ("score", pa.float64())])
@@ -74,13 +75,17 @@ def _row(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
 
 
 def compile_model(counts: dict[str, tuple[np.ndarray, np.ndarray]], *, least: int = 16,
-                  most_nodes: int = 6000) -> Model:
+                  most_nodes: int | None = None) -> Model:
     """Freeze gram counts per language into a table of code lengths.
 
     A tree holds the contexts seen ``least`` times or more; if the languages' trees hold more than
-    ``most_nodes`` contexts together, the rarest longest ones go.
+    ``most_nodes`` contexts together, longest ones go, those first that are rarest by their share in
+    the language that uses them most. Without a number, the table of code lengths may take 64 MB,
+    but 6000 contexts are held in any case.
     """
     languages = sorted(counts)
+    if most_nodes is None:
+        most_nodes = max(6000, _TABLE_BYTES // (4 * SYMBOLS * max(len(languages), 1)))
     if not languages:
         return Model([], np.zeros(256, np.int64), np.zeros(1 << _SHIFT * ORDER, np.int32), np.zeros((0, 0)))
     total = np.zeros(256, dtype=np.int64)
@@ -92,7 +97,7 @@ def compile_model(counts: dict[str, tuple[np.ndarray, np.ndarray]], *, least: in
     rare = 256 - (SYMBOLS - 1)
 
     held: list[dict[int, dict[int, np.ndarray]]] = []  # language, order: context to counts
-    weight: dict[tuple[int, int], int] = {}
+    weight: dict[tuple[int, int], float] = {}
     for lang in languages:
         gram, n = counts[lang]
         s = [symbol[(gram >> shift) & 0xFF] for shift in (24, 16, 8, 0)]
@@ -110,11 +115,12 @@ def compile_model(counts: dict[str, tuple[np.ndarray, np.ndarray]], *, least: in
             chosen = place[which] >= 0
             np.add.at(table, (place[which[chosen]], s[3][chosen]), n[chosen])
             orders[order] = dict(zip(names[keep].tolist(), table))
-            for name, rows in zip(names[keep].tolist(), size[keep].tolist()):
-                weight[order, name] = weight.get((order, name), 0) + rows
+            share = size[keep] / max(n.sum(), 1)
+            for name, part in zip(names[keep].tolist(), share.tolist()):
+                weight[order, name] = max(weight.get((order, name), 0.0), part)
         held.append(orders)
 
-    nodes = sorted(weight, key=lambda k: (k[0] == ORDER, -weight[k] if k[0] == ORDER else k[0], k[1]))
+    nodes = sorted(weight, key=lambda k: (k[0], -weight[k], k[1]))
     nodes = sorted(nodes[:most_nodes])
     at = {node: i for i, node in enumerate(nodes)}
     chance = np.zeros((len(nodes), SYMBOLS, len(languages)))
@@ -142,7 +148,7 @@ def compile_model(counts: dict[str, tuple[np.ndarray, np.ndarray]], *, least: in
     return Model(languages, symbol, node, bits.reshape(-1, len(languages)).astype(np.float32))
 
 
-def learn(df: DataFrame, *, documents: int = 1000, doc_id: str = "doc_id", text: str = "text",
+def learn(df: DataFrame, *, documents: int = 1500, doc_id: str = "doc_id", text: str = "text",
           lang: str = "lang", **parameters) -> Model:
     """Model of rows with a text and a language, from at most ``documents`` of each language."""
     rows = df.select(F.col(doc_id).alias("d"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("t")
