@@ -1,6 +1,9 @@
 """Archives, neighbours, learned operators and the pipeline."""
 
+import glob
+import gzip
 import hashlib
+import subprocess
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -32,6 +35,37 @@ def test_archives_round_trip(spark, tmp_path):
     assert warc.archived(df.where("page_id < 0")).count() == 0
 
 
+def archive_bytes(path):
+    return [open(f, "rb").read() for f in sorted(glob.glob(f"{path}/part-*"))]
+
+
+def test_any_reader_of_gzip_takes_a_large_record(spark):
+    big = 17 << 20  # its size has a high byte that is not zero
+    df = spark.range(3).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.when(
+        F.col("id") == 1, F.expr(f"repeat('x', {big})")).otherwise(F.concat(F.lit("page "), "id")).alias("html"))
+    path = fresh_path(spark, "test")
+    warc.write_archives(df.coalesce(1), path)
+    [body] = archive_bytes(path)
+    assert gzip.decompress(body).count(b"WARC/1.1\r\n") == 3
+    assert subprocess.run(["gzip", "-t"], input=body, capture_output=True).returncode == 0
+    got = {r.page_id: r.n for r in warc.read_archives(spark, path).select("page_id", F.length("payload").alias("n")).collect()}
+    assert got == {0: 6, 1: big, 2: 6}
+
+
+def test_archives_are_bounded_by_bytes(spark):
+    noise = np.random.default_rng(1)
+    sizes = [20_000] * 30 + [10] * 60 + [90_000] * 3
+    rows = [(i, "u", noise.integers(32, 127, n, np.uint8).tobytes().decode()) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = fresh_path(spark, "test")
+    warc.write_archives(df, path, records_per_file=40, file_bytes=100_000)
+    bodies = archive_bytes(path)
+    assert all(len(b) <= 100_000 + 90_000 for b in bodies) and len(bodies) >= 6
+    assert all(gzip.decompress(b).count(b"WARC/1.1\r\n") <= 40 for b in bodies)
+    got = {r.page_id: bytes(r.payload).decode() for r in warc.read_archives(spark, path).collect()}
+    assert got == {i: html for i, _, html in rows}
+
+
 def test_reader_takes_chunks_of_any_size_and_rejects_damage():
     one = warc.member([("WARC-Block-Digest", "sha256:" + hashlib.sha256(b"hello").hexdigest())], b"hello")
     two = warc.member([], b"\r\n\r\n" * 9)
@@ -77,6 +111,28 @@ def test_neighbours_recall(spark):
     assert hits >= 0.9 * 20 * len(want)
 
 
+def test_the_window_follows_the_structure_of_the_vectors(spark, monkeypatch):
+    random, halves = np.random.default_rng(8), {}
+    measure = neighbours.window_for
+    flat = random.normal(size=(12_000, 3)) @ random.normal(size=(3, 32))
+    spread = random.normal(size=(12_000, 32))
+    for name, vectors in (("flat", flat), ("spread", spread)):
+        vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+        monkeypatch.setattr(neighbours, "window_for", lambda *a, **k: halves.setdefault(name, measure(*a, **k)))
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+        got = neighbours.nearest(df, F.col("id") % 100 == 0, least_window=16).collect()
+        found = defaultdict(set)
+        for r in got:
+            found[r.query_id].add(r.vec_id)
+        hits = 0
+        for q in range(0, 12_000, 100):
+            scores = vectors @ vectors[q]
+            scores[q] = -np.inf
+            hits += len(found[q] & set(np.argsort(-scores)[:20].tolist()))
+        assert hits >= 0.9 * 20 * 120
+    assert halves["flat"] <= 0.01 * 12_000 < halves["spread"]
+
+
 def test_odd_vectors(spark):
     random = np.random.default_rng(2)
     rows = [(i, random.normal(size=4).tolist()) for i in range(60)] + [(100 + i, [1.0, 2.0, 0.0, 0.0]) for i in range(70)]

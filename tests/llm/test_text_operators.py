@@ -180,6 +180,33 @@ def test_a_level_minimises_the_sum_of_squares():
     assert all((n := sum(len(p[2]) for p in w)) == 16 or n & (n - 1) == 0 for w in closed)
 
 
+CLEAN = {
+    "arabic": "يولد جميع الناس أحرارا متساوين في الكرامة والحقوق، وقد وهبوا عقلا وضميرا وعليهم أن يعامل بعضهم بعضا بروح الإخاء.",
+    "hebrew": "כל בני האדם נולדו בני חורין ושווים בערכם ובזכויותיהם. כולם חוננו בתבונה ובמצפון, לפיכך חובה עליהם לנהוג איש ברעהו.",
+    "indic": "सभी मनुष्यों को गौरव और अधिकारों के मामले में जन्मजात स्वतन्त्रता और समानता प्राप्त है। उन्हें बुद्धि और अन्तरात्मा की देन प्राप्त है",
+    "thai": "มนุษย์ทั้งหลาย เกิดมา มีอิสระ และ เสมอภาคกัน ใน เกียรติศักดิ์ และ สิทธิ ต่างมี เหตุผล และ มโนธรรม และ ควรปฏิบัติ ต่อกัน",
+    "cjk": "人人 生而 自由， 在 尊严 和 权利 上 一律 平等。 他们 赋有 理性 和 良心， 并应 以 兄弟 关系 的 精神 相 对待。",
+    "hangul": "모든 인간은 태어날 때부터 자유로우며 그 존엄과 권리에 있어 동등하다. 인간은 천부적으로 이성과 양심을 부여받았으며 서로",
+    "caucasian": "ყველა ადამიანი იბადება თავისუფალი და თანასწორი თავისი ღირსებითა და უფლებებით. მათ მინიჭებული აქვთ გონება და სინდისი",
+}
+RANGES = {"arabic": (0x600, 0x6FF), "hebrew": (0x591, 0x5F4), "indic": (0x900, 0xDFF), "thai": (0xE01, 0xE5B),
+          "cjk": (0x4E00, 0x9FFF), "hangul": (0xAC00, 0xD7A3)}
+
+
+def test_bands_tell_clean_text_from_random_letters(spark):
+    pick = random.Random(4)
+    rows = [(i, text) for i, text in enumerate(CLEAN.values())]
+    rows += [(100 + i, " ".join("".join(chr(pick.randint(*r)) for _ in range(5)) for _ in range(40)))
+             for i, r in enumerate(RANGES.values())]
+    rows.append((200, " ".join(chr(0x1F300 + i) for i in range(60))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in fertility.judge(df, PIECES).collect()}
+    assert [got[i]["script"] for i in range(len(CLEAN))] == list(CLEAN)
+    assert [got[100 + i]["script"] for i in range(len(RANGES))] == list(RANGES)
+    assert not any(r["base_failed"] for r in got.values())
+    assert {i for i, r in got.items() if r["kept"]} == set(range(len(CLEAN)))
+
+
 def quality_counts(text):
     words, lines, seen, dup = WORD.findall(text), text.split("\n"), set(), 0
     for line in lines:
