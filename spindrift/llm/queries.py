@@ -22,6 +22,28 @@ SQL: dict[str, str] = {
                CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
         FROM f""",
+    "op4_suffix_dedup": """
+        WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS body FROM documents),
+        sized AS (SELECT *, octet_length(body) AS n FROM d),
+        windows AS (
+            SELECT doc_id, pos, array_slice(body, pos + 1, pos + 100) AS gram
+            FROM (SELECT doc_id, body, unnest(range(0, greatest(n - 99, 0))) AS pos FROM sized)),
+        placed AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY gram ORDER BY doc_id, pos) AS nth FROM windows),
+        later AS (
+            SELECT doc_id, pos, pos > lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 100 AS apart
+            FROM placed WHERE nth > 1),
+        runs AS (
+            SELECT doc_id, pos, count(*) FILTER (WHERE apart) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM later),
+        spans AS (SELECT doc_id, min(pos) AS first, max(pos) + 100 AS past FROM runs GROUP BY doc_id, run),
+        edges AS (SELECT doc_id, 0 AS first, 0 AS past FROM d UNION ALL SELECT doc_id, first, past FROM spans),
+        kept AS (
+            SELECT doc_id, past AS start, past - first AS removed,
+                   lead(first) OVER (PARTITION BY doc_id ORDER BY past) AS stop FROM edges)
+        SELECT doc_id, CAST(any_value(n) AS BIGINT) AS n_bytes, CAST(sum(removed) AS BIGINT) AS n_removed,
+               count(*) FILTER (WHERE removed > 0) AS n_spans,
+               sha256(unhex(string_agg(hex(array_slice(body, start + 1, coalesce(stop, n))), '' ORDER BY start)))
+                   AS kept_sha256
+        FROM kept JOIN sized USING (doc_id) GROUP BY doc_id""",
     "op12_divergence": r"""
         WITH d AS (
             SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS row,
