@@ -69,17 +69,19 @@ _CHAR = (np.arange(256) & 0xC0) != 0x80
 _WINDOW = 5
 
 
-def _letters_by_script(buffer: np.ndarray) -> list[np.ndarray]:
-    """Marks of the first bytes of letters by script, told from the leading bytes of UTF-8."""
-    b, after = buffer, np.append(buffer[1:], 0)
-    pair = (b.astype(np.int32) << 8) | after
+def _letters_by_script(words: Words, n_texts: int) -> np.ndarray:
+    """Letters of every script (row) and text, told from the leading two bytes of UTF-8."""
+    b = words.buffer
+    latin = (((b | 32) >= ord("a")) & ((b | 32) <= ord("z")) & (b < 128)) | ((b >= 0xC3) & (b <= 0xC9))
+    upto = np.concatenate(([0], np.cumsum(latin)))
+    at = np.flatnonzero(b >= 0xCD)  # the other scripts; few bytes of most texts
+    pair = (b[at].astype(np.int32) << 8) | np.append(b, 0)[at + 1]
+    owner = np.searchsorted(words.text_starts, at, side="right") - 1
     within = lambda low, high: (pair >= low) & (pair <= high)
-    ascii_letter = ((b | 32) >= ord("a")) & ((b | 32) <= ord("z")) & (b < 128)
     marks = {
-        "latin": ascii_letter | ((b >= 0xC3) & (b <= 0xC9)),
-        "greek": ((b == 0xCD) & (after >= 0xB0)) | (b == 0xCE) | (b == 0xCF),
+        "greek": within(0xCDB0, 0xCFFF),
         "cyrillic": within(0xD080, 0xD4AF),
-        "arabic": (b >= 0xD8) & (b <= 0xDB),
+        "arabic": within(0xD880, 0xDBBF),
         "hebrew": within(0xD691, 0xD7BF),
         "indic": within(0xE0A4, 0xE0B7),
         "thai": within(0xE0B8, 0xE0BB),
@@ -88,9 +90,11 @@ def _letters_by_script(buffer: np.ndarray) -> list[np.ndarray]:
         "caucasian": within(0xD4B0, 0xD68F) | within(0xE182, 0xE183),
     }
     told = np.logical_or.reduce(list(marks.values()))
-    emoji = within(0xF09F, 0xF09F)
-    marks["other"] = ~told & ~emoji & (((b >= 0xD5) & (b <= 0xDF)) | ((b >= 0xE0) & (b != 0xE2) & (pair != 0xE380)))
-    return [marks[script] for script in SCRIPTS]
+    symbols = within(0xE200, 0xE2FF) | within(0xE380, 0xE380) | within(0xF09F, 0xF09F)
+    marks["other"] = ~told & ~symbols & (pair >= 0xD500)
+    counts = {script: np.bincount(owner[mark], minlength=n_texts) for script, mark in marks.items()}
+    counts["latin"] = upto[words.text_ends] - upto[words.text_starts]
+    return np.stack([counts[script] for script in SCRIPTS])
 
 
 def _repeated(words: Words) -> np.ndarray:
@@ -146,7 +150,7 @@ def measure_texts(texts: list[bytes], encoder: SentencePieces, bands: Mapping[st
     n_words, n_symbols = words.counts, in_text(_SYMBOL[buffer])
     repeat = _repeated(words)
     failed = (n_words < 10) | (100 * repeat > 20 * n_words)
-    script = np.argmax(np.stack([in_text(m) for m in _letters_by_script(buffer)]), axis=0)
+    script = np.argmax(_letters_by_script(words, len(texts)), axis=0)
     ids = encoder.encode_all(texts)
     n_tokens = np.fromiter(map(len, ids), np.int64, len(ids))
     n_bytes = np.array([np.count_nonzero(encoder.is_byte[i]) for i in ids])
