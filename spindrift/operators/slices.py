@@ -29,17 +29,25 @@ ROWS_PER_SLICE = 1_000_000
 MAX_HOT_GROUPS = 1000
 #: More slices than this are not dealt; they get larger instead, and sorting them spills.
 MAX_SLICES = 16_384
+#: A task that writes slices writes as many as make up this many rows.
+ROWS_PER_FILE = 50_000
 
 
 @dataclass(frozen=True)
 class Hot:
-    """How many slices the hot groups need, and hashes of these groups, all groups for None.
+    """How many slices the hot groups need, hashes of these groups, all groups for None, and their rows.
 
     A group that shares a hash with a hot one is cut too, which does no harm.
     """
 
     slices: int = 0
     groups: Sequence[int] | None = ()
+    rows: int = 0
+
+    @property
+    def files(self) -> int:
+        """How many tasks write the slices, small ones together."""
+        return min(self.slices, ceil(self.rows / ROWS_PER_FILE))
 
 
 def measure(df: DataFrame, keys: Sequence[str], rows_per_slice: int) -> Hot:
@@ -58,7 +66,7 @@ def measure(df: DataFrame, keys: Sequence[str], rows_per_slice: int) -> Hot:
         rows = df.count()
     elif keys:
         groups = tuple(r["_hash"] for r in found)
-    return Hot(min(ceil(rows / rows_per_slice), MAX_SLICES), groups)
+    return Hot(min(ceil(rows / rows_per_slice), MAX_SLICES), groups, rows)
 
 
 def is_hot(keys: Sequence[str], groups: Sequence[int] | None) -> Column:
@@ -95,18 +103,21 @@ def running(
     if not hot.slices:
         return _within(df, list(keys), order, row_number, sums, lags, fills)
     inside = is_hot(keys, hot.groups)
-    scanned = _scan(df.where(inside), keys, order, hot.slices, row_number, sums, lags, fills)
+    scanned = _scan(df.where(inside), keys, order, hot, row_number, sums, lags, fills)
     if hot.groups is None:
         return scanned
     return _within(df.where(~inside), list(keys), order, row_number, sums, lags, fills).unionByName(scanned)
 
 
-def _scan(df, keys, order, slices, row_number, sums, lags, fills) -> DataFrame:
-    """The prefix scan of the module text."""
+def _scan(df, keys, order, hot, row_number, sums, lags, fills) -> DataFrame:
+    """The prefix scan of the module text.
+
+    The slice is numbered below the coalesce, where a partition still is one range.
+    """
     new = [*sums, *lags, *fills, *([row_number] if row_number is not None else [])]
     along = {f"_o{i}": o for i, o in enumerate(order)}
-    dealt = df.withColumns(along).repartitionByRange(slices, *keys, *along).withColumn("_slice", F.spark_partition_id())
-    sliced = staged(dealt, "slices")
+    dealt = df.withColumns(along).repartitionByRange(hot.slices, *keys, *along).withColumn("_slice", F.spark_partition_id())
+    sliced = staged(dealt.coalesce(hot.files), "slices")
     # keys in a struct, whose null fields are equal
     cell = F.struct("_slice", *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
     sliced = sliced.withColumn("_cell", cell)

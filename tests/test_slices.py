@@ -156,3 +156,15 @@ def test_quantiles_order_no_values(spark):
     df = selection.quantiles(frame(spark, facts(3)), ["g"], "v", {"a": 0.5}, rows_per_slice=50)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_small_slices_are_written_together(spark, monkeypatch):
+    kept = []
+    stage = slices.staged
+    monkeypatch.setattr(slices, "staged", lambda df, name: kept.append(stage(df, name)) or kept[-1])
+    df = spark.range(4000).select((F.col("id") % 3).cast("string").alias("g"), F.col("id").alias("t"), F.lit(1).alias("v"))
+    got = slices.running(df, ["g"], [F.col("t")], sums={"total": "v"}, rows_per_slice=20)
+    assert got.where("total <> t div 3 + 1").count() == 0 and got.count() == 4000
+    (written,) = kept
+    assert written.select("_slice").distinct().count() > 150
+    assert len(written.inputFiles()) == 1
